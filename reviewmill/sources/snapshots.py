@@ -1,0 +1,91 @@
+"""Versioned Parquet tables, addressed by path: the target of overwrites and upserts.
+
+``<path>/v=<n>`` holds the rows of version n. ``<path>/versions/<n>`` is a one-line file naming where
+they are; it appears by rename after the write has succeeded, so a reader sees a whole version or none of it.
+A version is never changed, hence a job may read version n while it writes version n + 1. A job
+that dies leaves at most a folder no version points to. One writer at a time.
+"""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+
+def _jpath(spark, path):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark, path):
+    return _jpath(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def snapshot_versions(spark, path):
+    """Version numbers of the table at ``path``, ascending; empty when there is no table."""
+    fs, folder = _fs(spark, path), _jpath(spark, f"{path}/versions")
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def is_snapshot(spark, path):
+    return bool(snapshot_versions(spark, path))
+
+
+def _commit(spark, path, version, location):
+    fs = _fs(spark, path)
+    draft = _jpath(spark, f"{path}/versions/.{uuid.uuid4().hex}")
+    final = _jpath(spark, f"{path}/versions/{version}")
+    place = fs.makeQualified(_jpath(spark, location)).toString()
+    out = fs.create(draft, False)
+    out.write(bytearray(place.encode("utf-8")))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise RuntimeError(f"version {version} of {path} was committed by another writer")
+    return version
+
+
+def read_snapshot(spark, path, version=None):
+    """The table as of ``version``, by default the latest."""
+    versions = snapshot_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no snapshot table at {path}")
+    version = versions[-1] if version is None else version
+    if version not in versions:
+        raise FileNotFoundError(f"no version {version} of {path}")
+    location = spark.read.text(f"{path}/versions/{version}", wholetext=True).first()[0]
+    return spark.read.parquet(location)
+
+
+def write_snapshot(df, path, merge_schema=False):
+    """Replace the rows of the table and return the new version.
+
+    Columns the table has and ``df`` lacks are written as NULL. Columns that are new need
+    ``merge_schema=True``, which adds them at the end.
+    """
+    spark = df.sparkSession
+    versions = snapshot_versions(spark, path)
+    if versions:
+        old = read_snapshot(spark, path)
+        new = [c for c in df.columns if c not in old.columns]
+        if new and not merge_schema:
+            raise ValueError(f"columns {new} are not in the table; pass merge_schema=True to add them")
+        have = set(df.columns)
+        types = {field.name: field.dataType for field in old.schema}
+        df = df.select(
+            *[F.col(c).cast(types[c]) if c in have else F.lit(None).cast(types[c]).alias(c) for c in old.columns],
+            *new,
+        )
+    version = versions[-1] + 1 if versions else 1
+    location = f"{path}/v={version}"
+    df.write.mode("overwrite").parquet(location)
+    return _commit(spark, path, version, location)
+
+
+def adopt_parquet(spark, src, path):
+    """Make an existing Parquet folder the first version of a table. No row is copied."""
+    if is_snapshot(spark, path):
+        raise ValueError(f"there is a table at {path} already")
+    spark.read.parquet(src)
+    return _commit(spark, path, 1, src)
