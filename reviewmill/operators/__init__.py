@@ -1,9 +1,9 @@
 from .relational import (
     attach_business, broken_rows, category_reviews, in_category, mispredicted, preview,
-    reviews_in_category, stars_to_double, strip_links,
+    reviews_in_category, set_difference, stars_to_double, strip_links,
 )
 from .quality import distribution, profile, quality_report
-from .reuse import reused
+from .reuse import reused, staged
 from .ingest import (
     business_key_values, json_values, records_to_lines, reviews_to_lines, split_bad_records, to_delimited,
 )

@@ -24,18 +24,18 @@ def quality_report(df, required):
     )
 
 
-def profile(df, cols=None):
+def profile(df, cols=None, accuracy=10_000):
     """One row per column: count, mean, stddev, min, quartiles, max.
 
     Strings are profiled like numbers where they hold some (others are left out of mean and quartiles).
-    Minimum and maximum are given as text. Quartiles are approximate above about 10,000 distinct values.
+    Minimum and maximum are given as text. Quartiles are off by at most 1/``accuracy`` of the rows.
     """
     types = {f.name: f.dataType for f in df.schema if isinstance(f.dataType, (NumericType, StringType))}
     cols = list(types) if cols is None else cols
     measures = []
     for c in cols:
         number = F.col(c).try_cast("double") if isinstance(types[c], StringType) else F.col(c)
-        quartiles = F.percentile_approx(number, [share for _, share in QUARTILES])
+        quartiles = F.percentile_approx(number, [share for _, share in QUARTILES], accuracy)
         measures += [
             F.count(c).alias(f"count_{c}"), F.mean(number).alias(f"mean_{c}"), F.stddev(number).alias(f"stddev_{c}"),
             F.min(c).alias(f"min_{c}"), quartiles.alias(f"quartiles_{c}"), F.max(c).alias(f"max_{c}"),

@@ -64,3 +64,11 @@ def stars_to_double(df, col="stars"):
 def preview(df, n=20, order_by=None):
     """First n rows by ``order_by``: each task keeps its own n, no full sort."""
     return df.orderBy(*(order_by or df.columns)).limit(n)
+
+
+def set_difference(left, right):
+    """Distinct rows of ``left`` that are not in ``right``.
+
+    Both sides are made distinct first: repeated rows are dropped by each task before anything is shuffled.
+    """
+    return left.distinct().subtract(right.distinct())

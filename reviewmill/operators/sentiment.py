@@ -7,11 +7,11 @@ map-only: words, a sparse vector and two dot products per row, all on the JVM; n
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ..functions.text import normal_tokens, tokens
+from ..functions.text import normal_tokens, normal_words, tokens
 from ..schemas import NEGATIVE, NEGATIVE_STARS, POSITIVE, POSITIVE_STARS, UNKNOWN
 from ..sources.snapshots import read_snapshot, write_snapshot
 
@@ -26,10 +26,6 @@ def normalize(df):
     return df.withColumn("normal", normal_tokens(F.col("token")))
 
 
-def _words(df, text_col):
-    return normal_tokens(tokens(F.col(text_col)))
-
-
 def weak_labels(df):
     """5 and 4 stars -> positive, 1 and 2 -> negative; rows with 3 stars, or with none, are dropped."""
     label = (
@@ -45,7 +41,7 @@ def word_class_counts(df, label_col="train_sentiment", text_col="text"):
     Words are counted on the map side, so a word that is in every text costs one row per task.
     """
     words = df.where(F.col(label_col).isin(POSITIVE, NEGATIVE)).select(
-        label_col, F.explode(F.array_distinct(_words(df, text_col))).alias("word")
+        label_col, F.explode(F.array_distinct(normal_words(F.col(text_col)))).alias("word")
     )
     return words.groupBy("word").agg(
         F.count_if(F.col(label_col) == POSITIVE).alias("positive"),
@@ -54,37 +50,44 @@ def word_class_counts(df, label_col="train_sentiment", text_col="text"):
 
 
 def vocabulary(counts, min_texts=5, max_words=2 ** 16):
-    """The words of the model, most frequent first: in at least ``min_texts`` texts, at most ``max_words``."""
+    """The words of the model with their counts: those in at least ``min_texts`` texts, the
+    ``max_words`` most frequent ones, ties by name."""
     texts = F.col("positive") + F.col("negative")
-    return counts.where(texts >= min_texts).orderBy(texts.desc(), "word").limit(max_words).select("word")
+    return counts.where(texts >= min_texts).orderBy(texts.desc(), "word").limit(max_words)
 
 
 def train_sentiment(df, label_col="train_sentiment", text_col="text", min_texts=5, max_words=2 ** 16):
-    """Fit on the rows labelled positive or negative. Returns a Spark ML model that can be saved."""
-    words = [row.word for row in vocabulary(word_class_counts(df, label_col, text_col), min_texts, max_words).collect()]
+    """Fit on the rows labelled positive or negative. Returns a Spark ML model that can be saved.
+
+    The texts are read once, to count words per label. The counts of the vocabulary say all there is to know about
+    the texts, so the model is fitted on one weighted row per label.
+    """
+    sizes = df.where(F.col(label_col).isin(POSITIVE, NEGATIVE)).groupBy(label_col).count().collect()
+    sizes = {row[label_col]: row["count"] for row in sizes}
+    if len(sizes) != 2:
+        raise ValueError("training needs texts of both labels")
+    words = {row.word: row for row in vocabulary(word_class_counts(df, label_col, text_col), min_texts, max_words).collect()}
     if not words:
         raise ValueError(f"no word occurs in {min_texts} labelled texts")
-    vectors = CountVectorizerModel.from_vocabulary(words, inputCol="_words", outputCol="_presence")
-    vectors = vectors.setBinary(True)
-    labelled = df.where(F.col(label_col).isin(POSITIVE, NEGATIVE)).select(
-        F.when(F.col(label_col) == POSITIVE, 1.0).otherwise(0.0).alias("label"), _words(df, text_col).alias("_words")
-    )
+    spark = df.sparkSession
+    word_lists = spark.createDataFrame([([word],) for word in words], "_words array<string>")
+    vectors = CountVectorizer(inputCol="_words", outputCol="_presence", binary=True, vocabSize=max_words).fit(word_lists)
+    per_label = spark.createDataFrame([
+        (index, float(sizes[label]), Vectors.dense([words[word][label] / sizes[label] for word in vectors.vocabulary]))
+        for index, label in [(0.0, NEGATIVE), (1.0, POSITIVE)]
+    ], ["label", "texts", "_presence"])
     bayes = NaiveBayes(
-        featuresCol="_presence", rawPredictionCol="_scores", probabilityCol="", predictionCol="_class",
+        featuresCol="_presence", weightCol="texts", rawPredictionCol="_scores", probabilityCol="", predictionCol="_class",
         modelType="multinomial", smoothing=1.0,
-    ).fit(vectors.transform(labelled))
-    if len(bayes.pi) != 2:
-        raise ValueError("training needs texts of both labels")
-    return PipelineModel([vectors, bayes])
+    )
+    return PipelineModel([vectors, bayes.fit(per_label)])
 
 
 def score_sentiment(df, model, text_col="text"):
     """Add ``final_sentiment``, an array with one label: positive, negative, or na without a known word."""
-    scored = model.transform(df.withColumn("_words", _words(df, text_col)))
-    scores = vector_to_array("_scores")
-    # Every known word lowers the log score, so a score equal to the prior means there was none.
-    prior = F.lit(float(model.stages[-1].pi[0]))
-    label = F.when(scores[0] == prior, UNKNOWN).when(F.col("_class") == 1.0, POSITIVE).otherwise(NEGATIVE)
+    scored = model.transform(df.withColumn("_words", normal_words(F.col(text_col))))
+    known = F.size(F.unwrap_udt("_presence")["indices"])
+    label = F.when(known == 0, UNKNOWN).when(F.col("_class") == 1.0, POSITIVE).otherwise(NEGATIVE)
     return scored.withColumn("final_sentiment", F.array(label)).drop(*SCORING_COLUMNS)
 
 

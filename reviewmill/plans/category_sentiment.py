@@ -1,7 +1,7 @@
 """The main application: sentiment of the reviews of one business category, checked against the stars."""
 
 from ..operators.relational import category_reviews
-from ..operators.reuse import reused
+from ..operators.reuse import staged
 from ..operators.sentiment import accuracy, right_prediction, score_sentiment
 from ..operators.upsert import upsert_path
 
@@ -19,9 +19,9 @@ def scored_category_reviews(reviews, business, category, model):
 def category_sentiment(spark, reviews, business, category, model, path, columns=SCORED_COLUMNS):
     """Score a batch, measure it and upsert it into the table at ``path``: (accuracy row, version).
 
-    The scored batch is kept, since the measure and the joins of the merge all read it.
+    The scored batch is staged, since the measure and the joins of the merge all read it, most of
+    them a single column.
     """
-    with reused(scored_category_reviews(reviews, business, category, model)) as scored:
-        measured = accuracy(scored).first()
-        version = upsert_path(spark, path, scored, "review_id", columns, columns)
-    return measured, version
+    scored = scored_category_reviews(reviews, business, category, model)
+    with staged(scored, "scored_batch") as batch:
+        return accuracy(batch).first(), upsert_path(spark, path, batch, "review_id", columns, columns)

@@ -89,7 +89,7 @@ def _features(spark, folder, stop):
     """Rows after the fitted feature stages; the hashed counts of a row add up to its words."""
     reviews = text_reviews(spark, folder).where("stars IS NOT NULL").select("review_id", "text", "stars")
     rows = op.tfidf_stages(stop).fit(reviews).transform(reviews)
-    counts = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda total, x: total + x)
+    counts = F.aggregate(F.unwrap_udt("tf")["values"], F.lit(0.0), lambda total, x: total + x)
     return rows.select("review_id", "label", counts.cast("bigint").alias("n_words"))
 
 

@@ -45,7 +45,7 @@ def _profile_sql(table_name, numbers, strings):
 
 @query(_profile_sql("documents", ["doc_id", "n_chars"], ["text", "lang", "source"]))
 def profile_documents(spark, folder):
-    profile = op.profile(table(spark, folder, "documents"))
+    profile = op.profile(table(spark, folder, "documents"), accuracy=1_000_000)
     return profile.withColumn("mean", F.round("mean", 4)).withColumn("stddev", F.round("stddev", 4))
 
 

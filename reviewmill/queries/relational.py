@@ -154,4 +154,4 @@ def union_all(spark, folder):
 @query("SELECT l_partkey AS id FROM lineitem EXCEPT SELECT l_suppkey FROM lineitem")
 def set_difference(spark, folder):
     lines = table(spark, folder, "lineitem")
-    return lines.select(F.col("l_partkey").alias("id")).subtract(lines.select("l_suppkey"))
+    return op.set_difference(lines.select(F.col("l_partkey").alias("id")), lines.select("l_suppkey"))
