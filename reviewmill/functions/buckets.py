@@ -20,7 +20,11 @@ def bucket_of(key, seed):
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
-def in_share(key, seed, low, high):
-    """True for keys whose bucket lies in [low, high) of the unit interval (numbers or columns)."""
+def in_share(key, seed, high, low=None):
+    """True for keys whose bucket lies in [low, high) of the unit interval (numbers or columns).
+
+    Without ``low`` the share starts at 0, and nothing is compared with it.
+    """
     bucket = bucket_of(key, seed)
-    return (bucket >= low * F.lit(float(BUCKETS))) & (bucket < high * F.lit(float(BUCKETS)))
+    below = bucket < high * F.lit(float(BUCKETS))
+    return below if low is None else (bucket >= low * F.lit(float(BUCKETS))) & below

@@ -17,17 +17,17 @@ def sample_about(df, n_rows, seed, key=None):
         total = df.count()
         return df.sample(fraction=min(1.0, n_rows / total) if total else 0.0, seed=seed)
     share = F.try_divide(F.lit(float(n_rows)), df.agg(F.count("*")).scalar())
-    return df.where(in_share(key, seed, F.lit(0.0), share))
+    return df.where(in_share(key, seed, share))
 
 
 def split(df, weights, seed, key=None):
     """Disjoint parts that cover ``df``, sized by ``weights``."""
     if key is None:
         return df.randomSplit(weights, seed)
-    total, low, parts = float(sum(weights)), 0.0, []
+    total, low, parts = float(sum(weights)), None, []
     for i, weight in enumerate(weights):
-        high = 1.0 if i == len(weights) - 1 else low + weight / total
-        parts.append(df.where(in_share(key, seed, F.lit(low), F.lit(high))))
+        high = 1.0 if i == len(weights) - 1 else (low or 0.0) + weight / total
+        parts.append(df.where(in_share(key, seed, F.lit(high), None if low is None else F.lit(low))))
         low = high
     return parts
 
@@ -44,7 +44,7 @@ def stratified_split(df, col, fraction, seed, key):
             share = F.when(F.col(col).eqNullSafe(F.lit(value)), F.lit(float(part))).otherwise(share)
     else:
         share = F.lit(float(fraction))
-    chosen = in_share(key, seed, F.lit(0.0), share)
+    chosen = in_share(key, seed, share)
     return df.where(chosen), df.where(~chosen)
 
 
@@ -61,12 +61,12 @@ def class_ratios(df, col):
 def join_per_class(df, table, col, max_classes=MAX_CLASSES):
     """Join a table with one row per class to ``df``.
 
-    Up to ``max_classes`` rows the table becomes local data of known size, which Spark broadcasts; a larger one
-    is joined as it is.
+    Up to ``max_classes`` rows are broadcast, so that no row of ``df`` moves however large its class is; a
+    larger table is joined as it is.
     """
     rows = table.limit(max_classes + 1).collect()
     if len(rows) <= max_classes:
-        table = df.sparkSession.createDataFrame(rows, table.schema)
+        table = F.broadcast(df.sparkSession.createDataFrame(rows, table.schema))
     return df.join(table, col)
 
 
@@ -74,12 +74,12 @@ def balance(df, col, seed, key):
     """Sample every class down to about the size of the smallest."""
     ratios = class_ratios(df, col).select(col, "count_ratio")
     weighted = join_per_class(df, ratios, col)
-    return weighted.where(in_share(key, seed, F.lit(0.0), F.col("count_ratio"))).select(df.columns)
+    return weighted.where(in_share(key, seed, F.col("count_ratio"))).select(df.columns)
 
 
 def overlapping_batches(df, n_rows, key, first_seed=100, second_seed=42, overlap_seed=7):
     """Two batches for an upsert: A = a sample; B = another sample and half of A."""
     first = sample_about(df, n_rows, first_seed, key)
     second = sample_about(df, n_rows, second_seed, key)
-    half = first.where(in_share(key, overlap_seed, F.lit(0.0), F.lit(0.5)))
+    half = first.where(in_share(key, overlap_seed, F.lit(0.5)))
     return first, second.union(half)

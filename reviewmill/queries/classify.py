@@ -16,7 +16,7 @@ from ..plans import star_model
 from ..session import scratch_path
 from .registry import query
 from .sentiment import MODEL_SQL, _flagged
-from .standins import table, text_reviews, with_text
+from .standins import documents, table, text_reviews, with_text, word_reviews
 
 # Java drops empty words at the end of a split, so white space there goes first.
 ML_WORDS_SQL = r"string_split_regex(regexp_replace(lower(text), '[\s\x0B]+$', ''), '[\s\x0B]')"
@@ -37,20 +37,20 @@ def _stop_words_sql():
 
 @query(f"SELECT doc_id, array_to_string({ML_WORDS_SQL}, '|') AS words FROM documents")
 def ml_words(spark, folder):
-    words = Tokenizer(inputCol="text", outputCol="words").transform(table(spark, folder, "documents"))
+    words = Tokenizer(inputCol="text", outputCol="words").transform(documents(spark, folder))
     return words.select("doc_id", F.array_join("words", "|").alias("words"))
 
 
 @query(f"SELECT doc_id, array_to_string({_stop_words_sql()}, '|') AS words FROM documents")
 def ml_stop_words(spark, folder):
-    words = Tokenizer(inputCol="text", outputCol="all").transform(table(spark, folder, "documents"))
+    words = Tokenizer(inputCol="text", outputCol="all").transform(documents(spark, folder))
     kept = StopWordsRemover(inputCol="all", outputCol="words").transform(words)
     return kept.select("doc_id", F.array_join("words", "|").alias("words"))
 
 
 @query(f"SELECT doc_id, term, count(*) AS count FROM (SELECT doc_id, unnest({ML_WORDS_SQL}) AS term FROM documents) GROUP BY ALL")
 def term_counts(spark, folder):
-    return op.term_counts(table(spark, folder, "documents"), "doc_id")
+    return op.term_counts(documents(spark, folder), "doc_id")
 
 
 @query(f"""
@@ -58,7 +58,7 @@ SELECT term, doc_freq, CASE WHEN doc_freq >= 5 THEN round(ln(((SELECT count(*) F
        ELSE 0 END AS idf
 FROM (SELECT term, count(*) AS doc_freq FROM (SELECT unnest(list_distinct({ML_WORDS_SQL})) AS term FROM documents) GROUP BY term)""")
 def document_frequencies(spark, folder):
-    return op.doc_freq(table(spark, folder, "documents")).withColumn("idf", F.round("idf", 6))
+    return op.doc_freq(documents(spark, folder)).withColumn("idf", F.round("idf", 6))
 
 
 LABEL_SQL = """
@@ -87,7 +87,7 @@ SELECT review_id, label, CAST(len(words) AS BIGINT) AS n_words FROM kept JOIN in
 
 def _features(spark, folder, stop):
     """Rows after the fitted feature stages; the hashed counts of a row add up to its words."""
-    reviews = text_reviews(spark, folder).where("stars IS NOT NULL").select("review_id", "text", "stars")
+    reviews = word_reviews(spark, folder).where("stars IS NOT NULL").select("review_id", "text", "stars")
     rows = op.tfidf_stages(stop).fit(reviews).transform(reviews)
     counts = F.aggregate(F.unwrap_udt("tf")["values"], F.lit(0.0), lambda total, x: total + x)
     return rows.select("review_id", "label", counts.cast("bigint").alias("n_words"))

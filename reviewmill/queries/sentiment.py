@@ -8,7 +8,7 @@ from ..plans import category_sentiment, scored_category_reviews
 from ..session import scratch_path
 from .registry import query
 from .standins import (
-    NORMAL_SQL, TEXT_CATEGORY, TOKENS_SQL, table, text_business, text_reviews, with_text,
+    NORMAL_SQL, TEXT_CATEGORY, TOKENS_SQL, documents, text_business, text_reviews, with_text, word_reviews,
 )
 
 MODEL_SQL = f"""
@@ -42,7 +42,7 @@ def _model(reviews):
 
 
 def _flagged(spark, folder):
-    reviews = text_reviews(spark, folder)
+    reviews = word_reviews(spark, folder)
     return op.right_prediction(op.score_sentiment(reviews, _model(reviews)))
 
 
@@ -52,12 +52,12 @@ def _shown(df):
 
 @query(f"SELECT doc_id, array_to_string({TOKENS_SQL}, ' ') AS token FROM documents")
 def tokenize_texts(spark, folder):
-    return op.tokenize(table(spark, folder, "documents")).select("doc_id", F.array_join("token", " ").alias("token"))
+    return op.tokenize(documents(spark, folder)).select("doc_id", F.array_join("token", " ").alias("token"))
 
 
 @query(f"SELECT doc_id, array_to_string({NORMAL_SQL}, ' ') AS normal FROM documents")
 def normalize_texts(spark, folder):
-    words = op.normalize(op.tokenize(table(spark, folder, "documents")))
+    words = op.normalize(op.tokenize(documents(spark, folder)))
     return words.select("doc_id", F.array_join("normal", " ").alias("normal"))
 
 
@@ -70,19 +70,19 @@ def weak_labels(spark, folder):
 
 @query(with_text(f"{MODEL_SQL} SELECT word, positive, negative FROM counts"))
 def word_class_counts(spark, folder):
-    return op.word_class_counts(op.weak_labels(text_reviews(spark, folder)))
+    return op.word_class_counts(op.weak_labels(word_reviews(spark, folder)))
 
 
 @query(with_text(f"{MODEL_SQL} SELECT word FROM vocabulary"))
 def model_vocabulary(spark, folder):
     """The words of the trained model itself."""
-    model = _model(text_reviews(spark, folder))
+    model = _model(word_reviews(spark, folder))
     return spark.createDataFrame([[word] for word in model.stages[0].vocabulary], "word string")
 
 
 @query(with_text(f"{MODEL_SQL} SELECT * FROM scored"))
 def sentiment_scores(spark, folder):
-    reviews = text_reviews(spark, folder)
+    reviews = word_reviews(spark, folder)
     return _shown(op.score_sentiment(reviews, _model(reviews)))
 
 
@@ -118,7 +118,7 @@ FROM flagged r JOIN text_business b ON b.business_id = r.business_id WHERE conta
 
 @query(with_text(CATEGORY_SQL))
 def category_reviews_scored(spark, folder):
-    reviews = text_reviews(spark, folder)
+    reviews = word_reviews(spark, folder)
     scored = scored_category_reviews(reviews, text_business(spark, folder), TEXT_CATEGORY, _model(reviews))
     return _shown(scored)
 
@@ -126,7 +126,7 @@ def category_reviews_scored(spark, folder):
 @query(with_text(CATEGORY_SQL))
 def category_reviews_upserted(spark, folder):
     """The main application twice on one path: create, then merge the same batch."""
-    reviews, business = text_reviews(spark, folder), text_business(spark, folder)
+    reviews, business = word_reviews(spark, folder), text_business(spark, folder)
     model, path = _model(reviews), scratch_path(spark, "category_sentiment")
     for _ in range(2):
         category_sentiment(spark, reviews, business, TEXT_CATEGORY, model, path)

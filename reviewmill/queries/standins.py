@@ -7,15 +7,25 @@
 
 from pyspark.sql import functions as F
 
-from ..sources import read_table
+from ..sources import read_table, spread
 
 
 def table(spark, folder, name):
     return read_table(spark, f"{folder}/{name}.parquet")
 
 
-def text_reviews(spark, folder):
-    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+def documents(spark, folder):
+    """For the queries that work on every word."""
+    return spread(table(spark, folder, "documents"))
+
+
+def word_reviews(spark, folder):
+    """``text_reviews`` for the queries that work on every word."""
+    return text_reviews(spark, folder, documents(spark, folder))
+
+
+def text_reviews(spark, folder, docs=None):
+    docs, labels = docs or table(spark, folder, "documents"), table(spark, folder, "labels")
     good, toxic = F.col("quality") == 1, F.col("toxic") == 1
     stars = (
         F.when(good & ~toxic, "5.0").when(good & toxic, "3.0").when(~good & ~toxic, "2.0").when(~good & toxic, "1.0")

@@ -1,3 +1,3 @@
 from .delimited import convert, read_delimited, write_delimited
-from .tables import read_json_records, read_lines, read_table, write_parquet
+from .tables import read_json_records, read_lines, read_table, spread, write_parquet
 from .snapshots import adopt_parquet, is_snapshot, read_snapshot, snapshot_versions, write_snapshot
