@@ -29,6 +29,14 @@ def normal_words(text):
     return F.array_remove(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\s]+", ""), r"\s+"), "")
 
 
+def plain_words(text):
+    """Lower-cased text cut at every single white space, as Spark's ``Tokenizer`` does it: empty words
+    stay inside the text and go at its end."""
+    trimmed = F.rtrim(F.lower(text), F.lit(" \t\n\x0b\f\r"))
+    blank = (trimmed == "") & (text != "")
+    return F.when(blank, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
+
+
 def clean_line(line):
     """Quote bare nulls and drop escaped line ends in a raw JSON line."""
     line = F.replace(line, F.lit(":null"), F.lit(':"null"'))

@@ -9,6 +9,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from ..functions.text import plain_words
 from .sampling import join_per_class
 
 # Width of the hashed term vector and the document frequency below which a term weighs 0.
@@ -28,13 +29,13 @@ def tfidf_stages(stop_words=True, label_col="stars"):
 
 def term_counts(df, key, text_col="text"):
     """Occurrences of each word in each row: the hashed counts without hashing."""
-    words = F.explode(F.split(F.lower(F.col(text_col)), r"\s")).alias("term")
+    words = F.explode(plain_words(F.col(text_col))).alias("term")
     return df.select(key, words).groupBy(key, "term").agg(F.count("*").alias("count"))
 
 
 def doc_freq(df, text_col="text", min_df=MIN_DOC_FREQ):
     """Rows that hold each word and its inverse document frequency, 0 below ``min_df`` rows."""
-    words = F.explode(F.array_distinct(F.split(F.lower(F.col(text_col)), r"\s"))).alias("term")
+    words = F.explode(F.array_distinct(plain_words(F.col(text_col)))).alias("term")
     counts = df.select(words).groupBy("term").agg(F.count("*").alias("doc_freq"))
     rows = df.agg(F.count("*")).scalar()
     idf = F.log((rows + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))

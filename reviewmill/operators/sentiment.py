@@ -5,6 +5,9 @@ vocabulary has at most ``max_words`` words, which is the bound on everything Spa
 map-only: words, a sparse vector and two dot products per row, all on the JVM; no review is shuffled.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizer
@@ -12,7 +15,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ..functions.text import normal_tokens, normal_words, tokens
-from ..schemas import NEGATIVE, NEGATIVE_STARS, POSITIVE, POSITIVE_STARS, UNKNOWN
+from ..schemas import AGREEING_STARS, NEGATIVE, NEUTRAL_STARS, POSITIVE, TRAINING_STARS, UNKNOWN
 from ..sources.snapshots import read_snapshot, write_snapshot
 
 SCORING_COLUMNS = ["_words", "_presence", "_scores", "_class"]
@@ -28,11 +31,9 @@ def normalize(df):
 
 def weak_labels(df):
     """5 and 4 stars -> positive, 1 and 2 -> negative; rows with 3 stars, or with none, are dropped."""
-    label = (
-        F.when(F.col("stars").isin("5.0", "4.0"), POSITIVE)
-        .when(F.col("stars").isin("1.0", "2.0"), NEGATIVE)
-    )
-    return df.withColumn("train_sentiment", label).where(F.col("stars") != "3.0")
+    stars = F.col("stars")
+    labels = [F.when(stars.isin(values), label) for label, values in TRAINING_STARS.items()]
+    return df.where(stars != NEUTRAL_STARS).withColumn("train_sentiment", F.coalesce(*labels))
 
 
 def word_class_counts(df, label_col="train_sentiment", text_col="text"):
@@ -85,7 +86,8 @@ def train_sentiment(df, label_col="train_sentiment", text_col="text", min_texts=
 
 def score_sentiment(df, model, text_col="text"):
     """Add ``final_sentiment``, an array with one label: positive, negative, or na without a known word."""
-    scored = model.transform(df.withColumn("_words", normal_words(F.col(text_col))))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    scored = model.transform(df.withColumn("_words", normal_words(text)))
     known = F.size(F.unwrap_udt("_presence")["indices"])
     label = F.when(known == 0, UNKNOWN).when(F.col("_class") == 1.0, POSITIVE).otherwise(NEGATIVE)
     return scored.withColumn("final_sentiment", F.array(label)).drop(*SCORING_COLUMNS)
@@ -93,11 +95,10 @@ def score_sentiment(df, model, text_col="text"):
 
 def right_prediction(df):
     """Flag 1 where the label agrees with the stars; three stars agree with either label."""
-    labels, stars = F.col("final_sentiment"), F.col("stars")
-    agrees = (F.array_contains(labels, POSITIVE) & stars.isin(POSITIVE_STARS)) | (
-        F.array_contains(labels, NEGATIVE) & stars.isin(NEGATIVE_STARS)
-    )
-    return df.withColumn("right_prediction", F.when(agrees, 1).otherwise(0))
+    agrees = reduce(or_, [
+        F.array_contains("final_sentiment", label) & F.col("stars").isin(values) for label, values in AGREEING_STARS.items()
+    ])
+    return df.withColumn("right_prediction", F.coalesce(agrees, F.lit(False)).cast("int"))
 
 
 def accuracy(df):

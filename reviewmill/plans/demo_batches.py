@@ -10,8 +10,8 @@ def demo_batches(spark, reviews, n_rows, folder, table_path, key="review_id"):
     batches = overlapping_batches(reviews, n_rows, key)
     version = None
     for name, batch in zip("ab", batches):
-        write_delimited(batch, f"{folder}/review_small_{name}", one_line=True)
-        written = read_delimited(spark, f"{folder}/review_small_{name}", reviews.schema, one_line=True)
+        write_delimited(batch, f"{folder}/batch_{name}", one_line=True)
+        written = read_delimited(spark, f"{folder}/batch_{name}", reviews.schema, one_line=True)
         # A row drawn for both halves of the second batch would be an ambiguous update.
         version = upsert_path(spark, table_path, written.dropDuplicates([key]), key)
     return version

@@ -15,7 +15,7 @@ def star_model(spark, reviews, path, key="review_id", seed=1, train_share=0.8, m
     The balanced samples are staged, so that the many passes of the fit do not go over all reviews again.
     A sample leaves little in each of the input partitions; the rebalance merges them by their real size.
     """
-    clean = strip_links(reviews.where("stars IS NOT NULL").select(key, "stars", "text"))
+    clean = strip_links(reviews.where("stars IS NOT NULL").select(key, "stars", "text").na.fill("", "text"))
     train, test = stratified_split(clean, "stars", train_share, seed, key)
     train, test = balance(train, "stars", seed + 1, key), balance(test, "stars", seed + 1, key)
     with staged(train.hint("rebalance"), "train") as train, staged(test.hint("rebalance"), "test") as test:

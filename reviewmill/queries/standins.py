@@ -25,7 +25,8 @@ def word_reviews(spark, folder):
 
 
 def text_reviews(spark, folder, docs=None):
-    docs, labels = docs or table(spark, folder, "documents"), table(spark, folder, "labels")
+    docs = table(spark, folder, "documents") if docs is None else docs
+    labels = table(spark, folder, "labels")
     good, toxic = F.col("quality") == 1, F.col("toxic") == 1
     stars = (
         F.when(good & ~toxic, "5.0").when(good & toxic, "3.0").when(~good & ~toxic, "2.0").when(~good & toxic, "1.0")

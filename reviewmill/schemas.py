@@ -39,7 +39,8 @@ BUSINESS_SCHEMA = StructType([
 REVIEW_FIELDS = REVIEW_SCHEMA.names
 BUSINESS_FIELDS = BUSINESS_SCHEMA.names
 
-# The sentiment labels, and the star ratings that agree with each of them.
+# The sentiment labels, the star ratings each of them agrees with, and those it is trained on.
 POSITIVE, NEGATIVE, UNKNOWN = "positive", "negative", "na"
-POSITIVE_STARS = ["5.0", "4.0", "3.0"]
-NEGATIVE_STARS = ["3.0", "2.0", "1.0"]
+AGREEING_STARS = {POSITIVE: ["3.0", "4.0", "5.0"], NEGATIVE: ["1.0", "2.0", "3.0"]}
+TRAINING_STARS = {POSITIVE: ["4.0", "5.0"], NEGATIVE: ["1.0", "2.0"]}
+NEUTRAL_STARS = "3.0"

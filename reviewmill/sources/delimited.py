@@ -12,6 +12,9 @@ from .tables import write_parquet
 
 _DIALECT = {"header": False, "quote": '"', "escape": '"'}
 
+# Encoded texts never hold this word. Given as the word for NULL, it tells an empty field from a quoted empty one.
+_NO_TEXT = "\\N"
+
 
 def _map_strings(df, schema, change):
     strings = {field.name for field in schema if isinstance(field.dataType, StringType)}
@@ -21,9 +24,12 @@ def _map_strings(df, schema, change):
 def read_delimited(spark, path, schema, sep="|", null_text=None, one_line=False):
     """Scan with a fixed schema. Bad numbers become NULL, short rows are filled with NULL.
 
-    ``null_text`` is a word that stands for NULL (the JSON ingest writes ``null``).
+    An empty field is NULL, and so is a quoted empty one unless ``one_line`` says that the file holds texts
+    as they were. ``null_text`` is one more word for NULL (the JSON ingest writes ``null``).
     """
     options = dict(_DIALECT, sep=sep, mode="PERMISSIVE")
+    if null_text is None and one_line:
+        null_text = _NO_TEXT
     if null_text is not None:
         options["nullValue"] = null_text
     df = spark.read.schema(schema).options(**options).csv(path)
