@@ -119,7 +119,7 @@ def star_predictions(spark, folder):
 
 @query()
 def embedding_predictions(spark, folder):
-    vectors = table(spark, folder, "embeddings").repartition("vec_id")
+    vectors = src.spread(table(spark, folder, "embeddings"))
     model = op.fit_embeddings(vectors)
     return model.transform(op.embedding_features(vectors)).select("vec_id", "label", "prediction")
 

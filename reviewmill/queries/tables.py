@@ -99,9 +99,10 @@ def scan_rows(spark, folder):
     """Phrases held in memory: how often one of their words occurs in a document."""
     phrases = spark.createDataFrame([[phrase] for phrase in PHRASES]).toDF("text")
     words = op.normalize(op.tokenize(phrases)).select("text", F.explode(F.array_distinct("normal")).alias("word"))
-    documents = op.normalize(op.tokenize(table(spark, folder, "documents")))
-    found = documents.select(F.explode(F.array_distinct("normal")).alias("word")).groupBy("word").count()
-    return found.join(words, "word").groupBy("text").agg(F.sum("count").alias("texts"))
+    documents = op.normalize(op.tokenize(src.spread(table(spark, folder, "documents"))))
+    found = documents.select(F.explode(F.array_distinct("normal")).alias("word"))
+    # The phrases are constants of this query, so their words can go to every task.
+    return found.join(F.broadcast(words), "word").groupBy("text").agg(F.count("*").alias("texts"))
 
 
 @query("SELECT event_id || ' ' || event_type || ' ' || props AS value FROM events")
