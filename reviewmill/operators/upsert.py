@@ -13,15 +13,15 @@ split. The merge is therefore put together from three joins that can:
 
 from pyspark.sql import functions as F
 
-from ..sources.snapshots import is_snapshot, read_snapshot, write_snapshot
+from ..sources.snapshots import append_snapshot, is_snapshot, read_snapshot, write_snapshot
 
 
 class AmbiguousUpdate(ValueError):
     """Two update rows match the same target row."""
 
 
-def _matched_keys(target, keys, key):
-    return target.select(key).join(keys, key, "left_semi").distinct()
+def _matched(target, keys, key):
+    return target.select(key).join(keys.select(key), key, "left_semi")
 
 
 def check_unambiguous(target, updates, key):
@@ -30,47 +30,63 @@ def check_unambiguous(target, updates, key):
     The first job counts keys (combined before the shuffle) and ends here for a clean batch;
     the target is read only if some key is repeated.
     """
-    repeated = updates.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
+    repeated = updates.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
     if repeated.isEmpty():
         return
-    example = _matched_keys(target, repeated, key).take(1)
+    example = _matched(target, repeated, key).take(1)
     if example:
         raise AmbiguousUpdate(f"several updates for {key} = {example[0][0]!r}")
 
 
-def upsert(target, updates, key, update_cols=None, insert_cols=None):
-    """The target after the merge, with the columns and order of the target.
-
-    Matched rows get ``update_cols``, other columns keep their value. Updates without a match are
-    inserted with ``insert_cols`` and NULL elsewhere, repeated ones too. Target rows without a match
-    stay. NULL keys never match. The default for both lists is every column.
-    """
+def _column_lists(target, updates, key, update_cols, insert_cols):
     update_cols = list(target.columns if update_cols is None else update_cols)
     insert_cols = list(target.columns if insert_cols is None else insert_cols)
     for c in {key, *update_cols, *insert_cols}:
         if c not in target.columns or c not in updates.columns:
             raise ValueError(f"column {c!r} must be in the target and in the updates")
-    check_unambiguous(target, updates, key)
-
-    old = target.alias("old")
-    new = updates.select(key, *[c for c in update_cols if c != key]).withColumn("_matched", F.lit(True)).alias("new")
-    types = {field.name: field.dataType for field in target.schema}
-    kept = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left").select([
-        F.when(F.col("_matched"), F.col(f"new.{c}").cast(types[c])).otherwise(F.col(f"old.{c}")).alias(c)
-        if c in update_cols and c != key else F.col(f"old.{c}")
-        for c in target.columns
+    return update_cols, insert_cols
+
+
+def _kept_rows(target, updates, key, update_cols):
+    """All target rows, the matched ones with their new values."""
+    changed = [c for c in update_cols if c != key]
+    new = updates.select(key, *changed, F.lit(True).alias("_matched")).alias("new")
+    joined = target.alias("old").join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left")
+    return joined.select([
+        F.when(F.col("_matched"), F.col(f"new.{f.name}").cast(f.dataType)).otherwise(F.col(f"old.{f.name}")).alias(f.name)
+        if f.name in changed else F.col(f"old.{f.name}")
+        for f in target.schema
     ])
 
-    known = _matched_keys(target, updates.select(key), key)
-    fresh = updates.join(known, key, "left_anti").select([
-        F.col(c).cast(types[c]) if c in insert_cols else F.lit(None).cast(types[c]).alias(c)
-        for c in target.columns
+
+def _inserted_rows(target, updates, insert_cols):
+    return updates.select([
+        (F.col(f.name) if f.name in insert_cols else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema
     ])
-    return kept.union(fresh)
+
+
+def upsert(target, updates, key, update_cols=None, insert_cols=None):
+    """The target after the merge, with the columns and order of the target.
+
+    Matched rows get ``update_cols``, other columns keep their value. Updates without a match are
+    inserted with ``insert_cols`` and NULL elsewhere, repeated ones too. Target rows without a match
+    stay. NULL keys never match. The default for both lists is every column.
+    """
+    update_cols, insert_cols = _column_lists(target, updates, key, update_cols, insert_cols)
+    check_unambiguous(target, updates, key)
+    fresh = updates.join(_matched(target, updates, key).distinct(), key, "left_anti")
+    return _kept_rows(target, updates, key, update_cols).union(_inserted_rows(target, fresh, insert_cols))
 
 
 def upsert_path(spark, path, updates, key, update_cols=None, insert_cols=None):
-    """Create the table from ``updates`` if there is none at ``path``, else merge; the new version."""
+    """Create the table from ``updates`` if there is none at ``path``, else merge; the new version.
+
+    A batch that matches nothing is appended; only one that does match makes the table be written anew.
+    """
     if not is_snapshot(spark, path):
         return write_snapshot(updates, path)
-    return write_snapshot(upsert(read_snapshot(spark, path), updates, key, update_cols, insert_cols), path)
+    target = read_snapshot(spark, path)
+    _, inserted = _column_lists(target, updates, key, update_cols, insert_cols)
+    if _matched(target, updates, key).isEmpty():
+        return append_snapshot(_inserted_rows(target, updates, inserted), path)
+    return write_snapshot(upsert(target, updates, key, update_cols, insert_cols), path)

@@ -15,6 +15,7 @@ from .. import sources as src
 from ..plans import star_model
 from ..session import scratch_path
 from .registry import query
+from .sampling import WIDTH, bucket_sql
 from .sentiment import MODEL_SQL, _flagged
 from .standins import documents, table, text_reviews, with_text, word_reviews
 
@@ -110,6 +111,30 @@ def class_weights(spark, folder):
     return op.class_weights(text_reviews(spark, folder), "stars").withColumn("weight", F.round("weight", 6))
 
 
+def _balanced_sql(name, part):
+    """Rows of the text reviews that satisfy ``part``, balanced by class."""
+    return f"""
+, {name}_part AS (SELECT review_id, stars FROM text_reviews WHERE stars IS NOT NULL AND {part})
+, {name}_counts AS (SELECT stars, count(*) AS n FROM {name}_part GROUP BY stars)
+, {name} AS (SELECT p.* FROM {name}_part p JOIN {name}_counts c ON c.stars = p.stars
+    WHERE {bucket_sql('p.review_id', 2)} < (SELECT min(n) FROM {name}_counts)::DOUBLE / c.n * {WIDTH})"""
+
+
+TRAIN = f"{bucket_sql('review_id', 1)} < 0.8::DOUBLE * {WIDTH}"
+
+
+@query(with_text(f"""
+{_balanced_sql('train', TRAIN)} {_balanced_sql('test', 'NOT ' + TRAIN)}
+, labels_of_train AS (
+  SELECT stars, CAST(row_number() OVER (ORDER BY count(*) DESC, stars) - 1 AS DOUBLE) AS label FROM train GROUP BY stars)
+SELECT review_id, t.stars, label FROM test t JOIN labels_of_train l ON l.stars = t.stars"""))
+def star_predicted_rows(spark, folder):
+    """All of the written predictions but the prediction: split, balance and labels of the whole classifier run."""
+    path = scratch_path(spark, "star_predicted_rows")
+    star_model(spark, text_reviews(spark, folder), path, max_iter=2)
+    return src.read_snapshot(spark, path).drop("prediction")
+
+
 @query()
 def star_predictions(spark, folder):
     path = scratch_path(spark, "star_predictions")

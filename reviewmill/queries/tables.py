@@ -56,7 +56,7 @@ def scan_parquet(spark, folder):
 
 @query("SELECT * FROM orders")
 def scan_parquet_by_format(spark, folder):
-    return spark.read.format("parquet").load(f"{folder}/orders.parquet").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    return spark.read.format("parquet").load(f"{folder}/orders.parquet")
 
 
 @query(ALL_REVIEWS)

@@ -1,7 +1,7 @@
 """Versioned Parquet tables, addressed by path: the target of overwrites and upserts.
 
-``<path>/v=<n>`` holds the rows of version n. ``<path>/versions/<n>`` is a one-line file naming where
-they are; it appears by rename after the write has succeeded, so a reader sees a whole version or none of it.
+``<path>/v=<n>`` holds the rows written for version n. ``<path>/versions/<n>`` names the folders that make up the
+version, one per line; it appears by rename after the write has succeeded, so a reader sees a whole version or none of it.
 A version is never changed, hence a job may read version n while it writes version n + 1. A job
 that dies leaves at most a folder no version points to. One writer at a time.
 """
@@ -32,13 +32,13 @@ def is_snapshot(spark, path):
     return bool(snapshot_versions(spark, path))
 
 
-def _commit(spark, path, version, location):
+def _commit(spark, path, version, locations):
     fs = _fs(spark, path)
     draft = _jpath(spark, f"{path}/versions/.{uuid.uuid4().hex}")
     final = _jpath(spark, f"{path}/versions/{version}")
-    place = fs.makeQualified(_jpath(spark, location)).toString()
+    places = [fs.makeQualified(_jpath(spark, location)).toString() for location in locations]
     out = fs.create(draft, False)
-    out.write(bytearray(place.encode("utf-8")))
+    out.write(bytearray("\n".join(places).encode("utf-8")))
     out.close()
     if fs.exists(final) or not fs.rename(draft, final):
         fs.delete(draft, False)
@@ -46,16 +46,27 @@ def _commit(spark, path, version, location):
     return version
 
 
-def read_snapshot(spark, path, version=None):
-    """The table as of ``version``, by default the latest."""
+def _locations(spark, path, version=None):
     versions = snapshot_versions(spark, path)
     if not versions:
         raise FileNotFoundError(f"no snapshot table at {path}")
     version = versions[-1] if version is None else version
     if version not in versions:
         raise FileNotFoundError(f"no version {version} of {path}")
-    location = spark.read.text(f"{path}/versions/{version}", wholetext=True).first()[0]
-    return spark.read.parquet(location)
+    return spark.read.text(f"{path}/versions/{version}", wholetext=True).first()[0].split("\n")
+
+
+def read_snapshot(spark, path, version=None):
+    """The table as of ``version``, by default the latest."""
+    return spark.read.parquet(*_locations(spark, path, version))
+
+
+def _like_table(df, table):
+    """``df`` with the columns, types and order of ``table``; columns it lacks are NULL."""
+    have = set(df.columns)
+    return [
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema
+    ]
 
 
 def write_snapshot(df, path, merge_schema=False):
@@ -71,16 +82,22 @@ def write_snapshot(df, path, merge_schema=False):
         new = [c for c in df.columns if c not in old.columns]
         if new and not merge_schema:
             raise ValueError(f"columns {new} are not in the table; pass merge_schema=True to add them")
-        have = set(df.columns)
-        types = {field.name: field.dataType for field in old.schema}
-        df = df.select(
-            *[F.col(c).cast(types[c]) if c in have else F.lit(None).cast(types[c]).alias(c) for c in old.columns],
-            *new,
-        )
+        df = df.select(*_like_table(df, old), *new)
     version = versions[-1] + 1 if versions else 1
     location = f"{path}/v={version}"
     df.write.mode("overwrite").parquet(location)
-    return _commit(spark, path, version, location)
+    return _commit(spark, path, version, [location])
+
+
+def append_snapshot(df, path):
+    """Add rows to the table and return the new version, which shares all older files with the last one."""
+    spark = df.sparkSession
+    locations = _locations(spark, path)
+    df = df.select(_like_table(df, read_snapshot(spark, path)))
+    version = snapshot_versions(spark, path)[-1] + 1
+    location = f"{path}/v={version}"
+    df.write.mode("overwrite").parquet(location)
+    return _commit(spark, path, version, [*locations, location])
 
 
 def adopt_parquet(spark, src, path):
@@ -88,4 +105,4 @@ def adopt_parquet(spark, src, path):
     if is_snapshot(spark, path):
         raise ValueError(f"there is a table at {path} already")
     spark.read.parquet(src)
-    return _commit(spark, path, 1, src)
+    return _commit(spark, path, 1, [src])

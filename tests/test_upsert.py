@@ -70,6 +70,21 @@ def test_path_is_created_then_merged(spark, path):
     assert rows(src.read_snapshot(spark, path, 1)) == rows(batch)
 
 
+def test_a_batch_without_matches_is_appended(spark, path, tmp_path):
+    upsert_path(spark, path, frame(spark, ("1", "a", 1), (None, "a", 0)), "id")
+    first = src.read_snapshot(spark, path).inputFiles()
+    assert upsert_path(spark, path, frame(spark, ("2", "b", 2), ("2", "c", 2), (None, "b", 3)), "id", ["id", "a"], ["id", "a"]) == 2
+    assert set(first) <= set(src.read_snapshot(spark, path).inputFiles())
+    assert rows(src.read_snapshot(spark, path)) == [
+        ("1", "a", 1), ("2", "b", None), ("2", "c", None), (None, "a", 0), (None, "b", None),
+    ]
+    assert src.read_snapshot(spark, path, 1).count() == 2
+    upsert_path(spark, path, frame(spark, ("1", "z", 9)), "id")
+    assert not set(first) & set(src.read_snapshot(spark, path).inputFiles())
+    assert src.read_snapshot(spark, path).where("a = 'z'").count() == 1
+    assert src.read_snapshot(spark, path).count() == 5
+
+
 def test_empty_sides(spark):
     some, none = frame(spark, ("1", "a", 1)), frame(spark, ("1", "a", 1)).where("false")
     assert rows(upsert(some, none, "id")) == rows(some)
