@@ -1,11 +1,5 @@
 """Features, weights, classifiers and their evaluation."""
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
-import pyspark
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -22,17 +16,22 @@ from .standins import documents, table, text_reviews, with_text, word_reviews
 # Java drops empty words at the end of a split, so white space there goes first.
 ML_WORDS_SQL = r"string_split_regex(regexp_replace(lower(text), '[\s\x0B]+$', ''), '[\s\x0B]')"
 
-
-@lru_cache
-def stop_words():
-    """Spark's default English stop words, read from its own jar so that no session is needed."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as files:
-        return files.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split("\n")
+# Spark's default English stop words.
+STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its
+itself they them their theirs themselves what which who whom this that these those am is are was were be been being
+have has had having do does did doing a an the and but if or because as until while of at by for with about against
+between into through during before after above below to from up down in out on off over under again further then once
+here there when where why how all any both each few more most other some such no nor not only own same so than too
+very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm
+you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's
+there's what's when's where's who's why's would
+""".split()
 
 
 def _stop_words_sql():
-    quoted = ", ".join("'" + word.replace("'", "''") + "'" for word in stop_words() if word)
+    quoted = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
     return f"list_filter({ML_WORDS_SQL}, lambda x: x NOT IN ({quoted}))"
 
 
