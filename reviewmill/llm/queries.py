@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, sharding, simhash
+from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -55,3 +56,24 @@ def op10_curriculum_mixing(spark, folder):
     mixed = mixing.curriculum_mix(docs)
     first = mixed.select("row.doc_id", "size", "source_size", "target", "taken", "copies", F.try_element_at("times", F.lit(1)).alias("_time"))
     return first.orderBy(F.col("_time").asc_nulls_last(), "doc_id").drop("_time")
+
+
+@query()
+def op6_label_propagation(spark, folder):
+    """Shards of all documents; equal texts are linked."""
+    docs = table(spark, folder, "documents")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    nodes = sharding.number_rows(
+        docs, "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.md5("text").alias("code"),
+    )
+    placed = sharding.balanced_shards(nodes, sharding.equal_text_links(nodes, nodes.count()))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op7_anchor_simhash(spark, folder):
+    """Fingerprint and component of every document."""
+    prints = stored(simhash.fingerprints(table(spark, folder, "documents"), keep=["doc_id"]), "prints")
+    return simhash.near_duplicates(prints).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
