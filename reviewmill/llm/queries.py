@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, simhash
+from . import mixing, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -77,3 +77,15 @@ def op7_anchor_simhash(spark, folder):
     """Fingerprint and component of every document."""
     prints = stored(simhash.fingerprints(table(spark, folder, "documents"), keep=["doc_id"]), "prints")
     return simhash.near_duplicates(prints).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def tokenizer_file(name="word_bpe_49k.json"):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op4_rans_tokens(spark, folder):
+    """Places, lengths and checksums of all documents' ids, from the written blocks."""
+    return tokens.token_table(table(spark, folder, "documents"), tokenizer_file())
