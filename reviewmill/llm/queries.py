@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, simhash, tokens
+from . import decontaminate, mixing, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -89,3 +89,14 @@ def tokenizer_file(name="word_bpe_49k.json"):
 def op4_rans_tokens(spark, folder):
     """Places, lengths and checksums of all documents' ids, from the written blocks."""
     return tokens.token_table(table(spark, folder, "documents"), tokenizer_file())
+
+
+@query()
+def op2_fm_index_decontamination(spark, folder):
+    """Words of each document inside benchmark windows, and the items they come from."""
+    found = decontaminate.find_windows(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select(
+        "row.doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
