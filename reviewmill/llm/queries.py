@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, sharding, simhash, tokens
+from . import decontaminate, language, mixing, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -100,3 +100,16 @@ def op2_fm_index_decontamination(spark, folder):
         "row.doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+def _held_out(parts, part):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part
+
+
+@query()
+def op3_bitmask_language_id(spark, folder):
+    """The language of every text, learned from three of four labelled documents."""
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.where(~_held_out(4, 2)))
+    found = language.predict(docs, model)
+    return found.select("row.doc_id", "lang_pred", "score").withColumn("held_out", _held_out(4, 2))
