@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, sharding, simhash, tokens
+from . import decontaminate, language, mixing, quality, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -113,3 +113,12 @@ def op3_bitmask_language_id(spark, folder):
     model = language.train(docs.where(~_held_out(4, 2)))
     found = language.predict(docs, model)
     return found.select("row.doc_id", "lang_pred", "score").withColumn("held_out", _held_out(4, 2))
+
+
+@query()
+def op5_random_indexing_quality(spark, folder):
+    """The quality of every text, learned from four of five labelled documents."""
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs.where(~_held_out(5, 0)), table(spark, folder, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("row.doc_id", "score", "predicted").withColumn("held_out", _held_out(5, 0))
