@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, quality, sharding, simhash, tokens
+from . import decontaminate, knn, language, mixing, quality, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -122,3 +122,10 @@ def op5_random_indexing_quality(spark, folder):
     model = quality.train(docs.where(~_held_out(5, 0)), table(spark, folder, "labels"))
     scored = quality.score(docs, model)
     return scored.select("row.doc_id", "score", "predicted").withColumn("held_out", _held_out(5, 0))
+
+
+@query()
+def op1_voronoi_top_k(spark, folder):
+    """The five best of all other vectors for every fiftieth."""
+    vectors = table(spark, folder, "embeddings")
+    return knn.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
