@@ -157,10 +157,22 @@ def links(fps):
 
 
 def near_duplicates(prints, key="doc_id"):
-    """Stored (.., key, fp) -> also component_id, the smallest key that can be reached over links."""
+    """Stored (.., key, fp) -> also root, a fingerprint that stands for the component, and component_id, the smallest key that can
+    be reached over links."""
     fps = stored(prints.groupBy("fp").agg(F.min(key).alias("first")), "fingerprints")
     roots = components(links(fps))
     known = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     known = stored(known, "known")
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(known.join(least, "root").select("fp", "component_id"), "fp")
+    return prints.join(known.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def first_of_each(docs, key="doc_id"):
+    """One row of each component: that with the smallest key, NULL last; all columns of ``docs``."""
+    columns = docs.columns
+    numbered = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.col("text").alias("text"), F.monotonically_increasing_id().alias("number"))
+    prints = stored(fingerprints(numbered, keep=["number", "key", "row"]), "prints")
+    found = near_duplicates(prints.select("number", "key", "fp"), "key")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "number")
+    kept = found.groupBy("root").agg(F.min(order)["number"].alias("number"))
+    return prints.join(kept, "number", "left_semi").select(*[F.col("row").getField(c).alias(c) for c in columns])
