@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, knn, language, mixing, quality, sharding, simhash, tokens
+from . import decontaminate, html, knn, language, mixing, quality, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -129,3 +129,10 @@ def op1_voronoi_top_k(spark, folder):
     """The five best of all other vectors for every fiftieth."""
     vectors = table(spark, folder, "embeddings")
     return knn.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+@query()
+def op8_wrapper_html_extraction(spark, folder):
+    """The main text of every page, by its host's wrapper."""
+    texts = html.main_texts(table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
