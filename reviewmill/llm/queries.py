@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, knn, language, mixing, quality, sharding, simhash, tokens
+from . import decontaminate, html, knn, language, mixing, quality, secrets, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -136,3 +136,10 @@ def op8_wrapper_html_extraction(spark, folder):
     """The main text of every page, by its host's wrapper."""
     texts = html.main_texts(table(spark, folder, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query()
+def op9_forest_secret_scan(spark, folder):
+    """All candidates for secrets, with the forest's decision; values as digests."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", "at", "nth", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "label", "score", "secret")
