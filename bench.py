@@ -15,7 +15,7 @@ from reviewmill.session import local_session
 HEADLINE = [
     "join_left", "join_then_filter", "filter_then_join", "filter_then_left_join", "join_semi",
     "star_distribution", "profile_documents", "quality_counts", "strip_links",
-    "json_records", "json_to_delimited", "scan_delimited", "convert_to_parquet", "scan_snapshot",
+    "json_records", "json_to_delimited", "scan_delimited", "convert_to_parquet", "scan_mergeable_table",
     "upsert_all_columns", "upsert_leaves_stars", "upsert_by_path",
     "sample_by_key", "split_by_key", "stratified_split", "balanced_classes", "overlapping_batches",
     "tokenize_texts", "normalize_texts", "word_class_counts", "sentiment_scores", "sentiment_accuracy",

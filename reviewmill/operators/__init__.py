@@ -7,11 +7,11 @@ from .reuse import reused, staged
 from .ingest import (
     business_key_values, json_values, records_to_lines, reviews_to_lines, split_bad_records, to_delimited,
 )
-from .upsert import AmbiguousUpdate, upsert, upsert_path
+from .upsert import AmbiguousUpdate, upsert, upsert_table
 from .sampling import balance, class_ratios, overlapping_batches, sample_about, split, stratified_split
 from .sentiment import (
-    accuracy, normalize, right_prediction, score_job, score_sentiment, tokenize, train_sentiment,
-    vocabulary, weak_labels, word_class_counts,
+    SentimentModel, accuracy, normalize, right_prediction, score_job, score_sentiment, tokenize, train_sentiment,
+    weak_labels, word_class_counts,
 )
 from .classify import (
     assemble, class_metrics, class_weights, confusion, doc_freq, embedding_features, evaluate_f1,

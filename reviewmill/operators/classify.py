@@ -28,9 +28,21 @@ def tfidf_stages(stop_words=True, label_col="stars"):
 
 
 def term_counts(df, key, text_col="text"):
-    """Occurrences of each word in each row: the hashed counts without hashing."""
-    words = F.explode(plain_words(F.col(text_col))).alias("term")
-    return df.select(key, words).groupBy(key, "term").agg(F.count("*").alias("count"))
+    """Occurrences of each word in each row: the hashed counts without hashing.
+
+    The words of a row are sorted and their runs counted, so no row leaves its task.
+    """
+    def runs(words):
+        places = F.sequence(F.lit(1), F.size(words))
+        starts = F.array(F.filter(places, lambda i: (i == 1) | (F.get(words, i - 1) != F.get(words, i - 2))))
+        return F.transform(starts, lambda at: F.transform(at, lambda i, n: F.struct(
+            F.get(words, i - 1).alias("term"), (F.coalesce(F.get(at, n + 1), F.size(words) + 1) - i).cast("long").alias("count"),
+        )))[0]
+
+    # Lists of one keep the sorted words and the starts from being made again for each word.
+    words = plain_words(F.col(text_col))
+    rows = df.where(F.size(words) > 0).select(key, F.transform(F.array(F.array_sort(words)), runs)[0].alias("_runs"))
+    return rows.select(key, F.inline("_runs"))
 
 
 def doc_freq(df, text_col="text", min_df=MIN_DOC_FREQ):

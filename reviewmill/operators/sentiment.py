@@ -1,24 +1,30 @@
 """Sentiment of review texts: train on star-derived labels, score, compare with the stars.
 
-The model is a naive Bayes over the presence of words in a text, with Laplace smoothing. Its
-vocabulary has at most ``max_words`` words, which is the bound on everything Spark sends to all executors. Scoring is
-map-only: words, a sparse vector and two dot products per row, all on the JVM; no review is shuffled.
+The model is a naive Bayes over the presence of words in a text, with Laplace smoothing. It is a table of words and weights, with every
+word of the training texts; nothing of it passes through the driver but three sums. Weights are whole numbers, in parts of ``UNIT``,
+so that a score is the same in whatever order it is added up.
+
+Scoring explodes the words of a text, joins them with the weights and adds them up per text, in the task first. The join has no hint: Spark
+broadcasts the weights while it measures them small, and else sorts both sides and splits hot words. Texts are told apart
+by their digest, so equal ones are scored alike, whatever the key of the rows.
 """
 
+from collections import namedtuple
 from functools import reduce
 from operator import or_
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ..functions.text import normal_tokens, normal_words, tokens
 from ..schemas import AGREEING_STARS, NEGATIVE, NEUTRAL_STARS, POSITIVE, TRAINING_STARS, UNKNOWN
-from ..sources.snapshots import read_snapshot, write_snapshot
+from ..session import scratch_path
+from ..sources.catalog import overwrite_table
+from ..sources.tables import read_table, write_parquet
+
+UNIT = 10 ** 9
 
-SCORING_COLUMNS = ["_words", "_presence", "_scores", "_class"]
+# ``weights``: a stored table (word, weight); ``prior``: the weight of a text without words.
+SentimentModel = namedtuple("SentimentModel", "weights prior")
 
 
 def tokenize(df, col="text"):
@@ -44,53 +50,62 @@ def word_class_counts(df, label_col="train_sentiment", text_col="text"):
     words = df.where(F.col(label_col).isin(POSITIVE, NEGATIVE)).select(
         label_col, F.explode(F.array_distinct(normal_words(F.col(text_col)))).alias("word")
     )
+    return _class_counts(words, label_col)
+
+
+def _class_counts(words, label_col):
     return words.groupBy("word").agg(
         F.count_if(F.col(label_col) == POSITIVE).alias("positive"),
         F.count_if(F.col(label_col) == NEGATIVE).alias("negative"),
     )
 
 
-def vocabulary(counts, min_texts=5, max_words=2 ** 16):
-    """The words of the model with their counts: those in at least ``min_texts`` texts, the
-    ``max_words`` most frequent ones, ties by name."""
-    texts = F.col("positive") + F.col("negative")
-    return counts.where(texts >= min_texts).orderBy(texts.desc(), "word").limit(max_words)
+def _weight(positive, negative):
+    return F.round((F.log(positive) - F.log(negative)) * UNIT).cast("long")
 
 
-def train_sentiment(df, label_col="train_sentiment", text_col="text", min_texts=5, max_words=2 ** 16):
-    """Fit on the rows labelled positive or negative. Returns a Spark ML model that can be saved.
+def train_sentiment(df, label_col="train_sentiment", text_col="text"):
+    """Fit on the rows labelled positive or negative.
 
-    The texts are read once, to count words per label. The counts of the vocabulary say all there is to know about
-    the texts, so the model is fitted on one weighted row per label.
+    The texts are read once, to count words per label; an empty word in each text counts the texts themselves.
     """
-    sizes = df.where(F.col(label_col).isin(POSITIVE, NEGATIVE)).groupBy(label_col).count().collect()
-    sizes = {row[label_col]: row["count"] for row in sizes}
-    if len(sizes) != 2:
-        raise ValueError("training needs texts of both labels")
-    words = {row.word: row for row in vocabulary(word_class_counts(df, label_col, text_col), min_texts, max_words).collect()}
-    if not words:
-        raise ValueError(f"no word occurs in {min_texts} labelled texts")
-    spark = df.sparkSession
-    word_lists = spark.createDataFrame([([word],) for word in words], "_words array<string>")
-    vectors = CountVectorizer(inputCol="_words", outputCol="_presence", binary=True, vocabSize=max_words).fit(word_lists)
-    per_label = spark.createDataFrame([
-        (index, float(sizes[label]), Vectors.dense([words[word][label] / sizes[label] for word in vectors.vocabulary]))
-        for index, label in [(0.0, NEGATIVE), (1.0, POSITIVE)]
-    ], ["label", "texts", "_presence"])
-    bayes = NaiveBayes(
-        featuresCol="_presence", weightCol="texts", rawPredictionCol="_scores", probabilityCol="", predictionCol="_class",
-        modelType="multinomial", smoothing=1.0,
+    texts = df.where(F.col(label_col).isin(POSITIVE, NEGATIVE))
+    words = F.concat(F.array(F.lit("")), F.coalesce(F.array_distinct(normal_words(F.col(text_col))), F.array().cast("array<string>")))
+    counts = _class_counts(texts.select(label_col, F.explode(words).alias("word")), label_col)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "word_counts")
+    write_parquet(counts, path)
+    counts = read_table(spark, path)
+    sums = counts.groupBy((F.col("word") == "").alias("texts")).agg(
+        F.sum("positive").alias("positive"), F.sum("negative").alias("negative"), F.count("*").alias("words")
     )
-    return PipelineModel([vectors, bayes.fit(per_label)])
+    sums = {row.texts: row for row in sums.collect()}
+    if True not in sums or not sums[True].positive or not sums[True].negative:
+        raise ValueError("training needs texts of both labels")
+    if False not in sums:
+        raise ValueError("no labelled text has a word")
+    size, all_texts = sums[False], sums[True]
+    positive = (F.col("positive") + 1) / F.lit(float(size.positive + size.words))
+    negative = (F.col("negative") + 1) / F.lit(float(size.negative + size.words))
+    weights = counts.where("word <> ''").select("word", _weight(positive, negative).alias("weight"))
+    prior = spark.range(1).select(_weight(F.lit(all_texts.positive + 1.0), F.lit(all_texts.negative + 1.0)).alias("prior")).first().prior
+    return SentimentModel(weights, prior)
 
 
 def score_sentiment(df, model, text_col="text"):
     """Add ``final_sentiment``, an array with one label: positive, negative, or na without a known word."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    scored = model.transform(df.withColumn("_words", normal_words(text)))
-    known = F.size(F.unwrap_udt("_presence")["indices"])
-    label = F.when(known == 0, UNKNOWN).when(F.col("_class") == 1.0, POSITIVE).otherwise(NEGATIVE)
-    return scored.withColumn("final_sentiment", F.array(label)).drop(*SCORING_COLUMNS)
+    coded = df.withColumn("_code", F.md5(F.col(text_col)))
+    # The empty word marks each row once, so that rows with the same text can be told from words of one row.
+    words = coded.where("_code IS NOT NULL").select(
+        "_code", F.explode(F.concat(F.array(F.lit("")), F.array_distinct(normal_words(F.col(text_col))))).alias("word")
+    )
+    weights = model.weights.select(F.col("word").alias("_word"), "weight")
+    sums = words.join(weights, F.col("word") == F.col("_word"), "left").groupBy("_code").agg(
+        F.sum("weight").alias("_sum"), F.count("weight").alias("_known"), F.count_if(F.col("word") == "").alias("_rows")
+    )
+    score = F.lit(model.prior) + F.col("_sum") / F.col("_rows")
+    label = F.when(F.coalesce(F.col("_known"), F.lit(0)) == 0, UNKNOWN).when(score > 0, POSITIVE).otherwise(NEGATIVE)
+    scored = coded.join(sums, "_code", "left").withColumn("final_sentiment", F.array(label))
+    return scored.select(*df.columns, "final_sentiment")
 
 
 def right_prediction(df):
@@ -108,5 +123,5 @@ def accuracy(df):
 
 
 def score_job(spark, src, dst, model):
-    """Read a snapshot table, score it and overwrite the scored table; the new version."""
-    return write_snapshot(score_sentiment(read_snapshot(spark, src), model), dst)
+    """Score the catalog table ``src`` and overwrite the table ``dst`` with it."""
+    overwrite_table(score_sentiment(spark.read.table(src), model), dst)

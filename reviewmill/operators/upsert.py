@@ -13,7 +13,8 @@ split. The merge is therefore put together from three joins that can:
 
 from pyspark.sql import functions as F
 
-from ..sources.snapshots import append_snapshot, is_snapshot, read_snapshot, write_snapshot
+from ..sources.catalog import append_table, overwrite_table, table_exists
+from .reuse import staged
 
 
 class AmbiguousUpdate(ValueError):
@@ -78,15 +79,22 @@ def upsert(target, updates, key, update_cols=None, insert_cols=None):
     return _kept_rows(target, updates, key, update_cols).union(_inserted_rows(target, fresh, insert_cols))
 
 
-def upsert_path(spark, path, updates, key, update_cols=None, insert_cols=None):
-    """Create the table from ``updates`` if there is none at ``path``, else merge; the new version.
+def upsert_table(spark, name, updates, key, update_cols=None, insert_cols=None):
+    """Create the table from ``updates`` if there is none of that name, else merge.
 
-    A batch that matches nothing is appended; only one that does match makes the table be written anew.
+    The batch is computed once and staged, and so are the keys it shares with the table: one join of keys, with one pass over the table's key
+    column, serves the check for ambiguous updates, the choice between append and rewrite, and the rows to insert. A batch that
+    matches nothing is appended; with matches, which may be in any file, the table is written anew.
     """
-    if not is_snapshot(spark, path):
-        return write_snapshot(updates, path)
-    target = read_snapshot(spark, path)
-    _, inserted = _column_lists(target, updates, key, update_cols, insert_cols)
-    if _matched(target, updates, key).isEmpty():
-        return append_snapshot(_inserted_rows(target, updates, inserted), path)
-    return write_snapshot(upsert(target, updates, key, update_cols, insert_cols), path)
+    if not table_exists(spark, name):
+        overwrite_table(updates, name)
+        return
+    target = spark.read.table(name)
+    update_cols, insert_cols = _column_lists(target, updates, key, update_cols, insert_cols)
+    with staged(updates, "batch") as batch, staged(_matched(target, batch, key).distinct(), "matched") as matched:
+        check_unambiguous(matched, batch, key)
+        inserted = _inserted_rows(target, batch.join(matched, key, "left_anti"), insert_cols)
+        if matched.isEmpty():
+            append_table(inserted, name)
+        else:
+            overwrite_table(_kept_rows(target, batch, key, update_cols).union(inserted), name)

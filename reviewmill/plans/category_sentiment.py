@@ -3,7 +3,7 @@
 from ..operators.relational import category_reviews
 from ..operators.reuse import staged
 from ..operators.sentiment import accuracy, right_prediction, score_sentiment
-from ..operators.upsert import upsert_path
+from ..operators.upsert import upsert_table
 
 # The columns an upsert of scored reviews sets. ``stars`` keeps its value.
 SCORED_COLUMNS = [
@@ -16,12 +16,13 @@ def scored_category_reviews(reviews, business, category, model):
     return right_prediction(score_sentiment(category_reviews(reviews, business, category), model))
 
 
-def category_sentiment(spark, reviews, business, category, model, path, columns=SCORED_COLUMNS):
-    """Score a batch, measure it and upsert it into the table at ``path``: (accuracy row, version).
+def category_sentiment(spark, reviews, business, category, model, table, columns=SCORED_COLUMNS):
+    """Score a batch, measure it and upsert it into ``table``; the accuracy row.
 
     The scored batch is staged, since the measure and the joins of the merge all read it, most of
     them a single column.
     """
     scored = scored_category_reviews(reviews, business, category, model)
     with staged(scored, "scored_batch") as batch:
-        return accuracy(batch).first(), upsert_path(spark, path, batch, "review_id", columns, columns)
+        upsert_table(spark, table, batch, "review_id", columns, columns)
+        return accuracy(batch).first()

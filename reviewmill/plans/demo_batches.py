@@ -1,17 +1,15 @@
 """Two small overlapping batches of reviews: write both as text, create a table from one, merge the other."""
 
 from ..operators.sampling import overlapping_batches
-from ..operators.upsert import upsert_path
+from ..operators.upsert import upsert_table
 from ..sources.delimited import read_delimited, write_delimited
 
 
-def demo_batches(spark, reviews, n_rows, folder, table_path, key="review_id"):
-    """Version of the table after the merge."""
+def demo_batches(spark, reviews, n_rows, folder, table, key="review_id"):
+    """Sample, write as text, read back, create ``table`` and merge into it."""
     batches = overlapping_batches(reviews, n_rows, key)
-    version = None
     for name, batch in zip("ab", batches):
-        write_delimited(batch, f"{folder}/batch_{name}", one_line=True)
-        written = read_delimited(spark, f"{folder}/batch_{name}", reviews.schema, one_line=True)
+        write_delimited(batch, f"{folder}/batch_{name}")
+        written = read_delimited(spark, f"{folder}/batch_{name}", reviews.schema)
         # A row drawn for both halves of the second batch would be an ambiguous update.
-        version = upsert_path(spark, table_path, written.dropDuplicates([key]), key)
-    return version
+        upsert_table(spark, table, written.dropDuplicates([key]), key)

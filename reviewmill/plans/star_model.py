@@ -4,12 +4,12 @@ from ..operators.classify import class_metrics, evaluate_f1, fit_stars, tfidf_st
 from ..operators.relational import strip_links
 from ..operators.reuse import reused, staged
 from ..operators.sampling import balance, stratified_split
-from ..sources.snapshots import write_snapshot
+from ..sources.catalog import overwrite_table
 
 PREDICTION_COLUMNS = ["stars", "label", "prediction"]
 
 
-def star_model(spark, reviews, path, key="review_id", seed=1, train_share=0.8, max_iter=100):
+def star_model(spark, reviews, table, key="review_id", seed=1, train_share=0.8, max_iter=100):
     """Fit on balanced train rows, predict balanced test rows, write them: (model, F1, class metrics).
 
     The balanced samples are staged, so that the many passes of the fit do not go over all reviews again.
@@ -24,5 +24,5 @@ def star_model(spark, reviews, path, key="review_id", seed=1, train_share=0.8, m
         with reused(model.transform(features.transform(test)).select(key, *PREDICTION_COLUMNS)) as predictions:
             f1 = evaluate_f1(predictions)
             metrics = class_metrics(predictions).collect()
-            write_snapshot(predictions, path)
+            overwrite_table(predictions, table)
     return model, f1, metrics

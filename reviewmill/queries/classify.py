@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from .. import sources as src
 from ..plans import star_model
-from ..session import scratch_path
 from .registry import query
 from .sampling import WIDTH, bucket_sql
 from .sentiment import MODEL_SQL, _flagged
-from .standins import documents, table, text_reviews, with_text, word_reviews
+from .standins import documents, new_name, table, taken, text_reviews, with_text
 
 # Java drops empty words at the end of a split, so white space there goes first.
 ML_WORDS_SQL = r"string_split_regex(regexp_replace(lower(text), '[\s\x0B]+$', ''), '[\s\x0B]')"
@@ -87,7 +86,7 @@ SELECT review_id, label, CAST(len(words) AS BIGINT) AS n_words FROM kept JOIN in
 
 def _features(spark, folder, stop):
     """Rows after the fitted feature stages; the hashed counts of a row add up to its words."""
-    reviews = word_reviews(spark, folder).where("stars IS NOT NULL").select("review_id", "text", "stars")
+    reviews = text_reviews(spark, folder).where("stars IS NOT NULL").select("review_id", "text", "stars")
     rows = op.tfidf_stages(stop).fit(reviews).transform(reviews)
     counts = F.aggregate(F.unwrap_udt("tf")["values"], F.lit(0.0), lambda total, x: total + x)
     return rows.select("review_id", "label", counts.cast("bigint").alias("n_words"))
@@ -129,21 +128,19 @@ TRAIN = f"{bucket_sql('review_id', 1)} < 0.8::DOUBLE * {WIDTH}"
 SELECT review_id, t.stars, label FROM test t JOIN labels_of_train l ON l.stars = t.stars"""))
 def star_predicted_rows(spark, folder):
     """All of the written predictions but the prediction: split, balance and labels of the whole classifier run."""
-    path = scratch_path(spark, "star_predicted_rows")
-    star_model(spark, text_reviews(spark, folder), path, max_iter=2)
-    return src.read_snapshot(spark, path).drop("prediction")
+    return star_predictions(spark, folder).drop("prediction")
 
 
 @query()
 def star_predictions(spark, folder):
-    path = scratch_path(spark, "star_predictions")
-    star_model(spark, text_reviews(spark, folder), path)
-    return src.read_snapshot(spark, path)
+    name = new_name("star_predictions")
+    star_model(spark, text_reviews(spark, folder), name)
+    return taken(spark, name)
 
 
 @query()
 def embedding_predictions(spark, folder):
-    vectors = src.spread(table(spark, folder, "embeddings"))
+    vectors = table(spark, folder, "embeddings")
     model = op.fit_embeddings(vectors)
     return model.transform(op.embedding_features(vectors)).select("vec_id", "label", "prediction")
 
@@ -201,6 +198,6 @@ def weighted_f1_of_evaluator(spark, folder):
 
 @query(with_text(f"{PAIRS_SQL} SELECT * FROM pairs"))
 def persisted_predictions(spark, folder):
-    path = scratch_path(spark, "predictions")
-    src.write_snapshot(_pairs(spark, folder), path)
-    return src.read_snapshot(spark, path)
+    name = new_name("predictions")
+    src.overwrite_table(_pairs(spark, folder), name)
+    return taken(spark, name)

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..plans import demo_batches as run_demo
+from ..session import scratch_path
 from .registry import query
-from .standins import sales_reviews, table, text_reviews, with_text
+from .standins import new_name, sales_reviews, table, taken, text_reviews, with_text
 
 
 def bucket_sql(key, seed):
@@ -90,3 +92,15 @@ def balanced_classes(spark, folder):
 def overlapping_batches(spark, folder):
     first, second = op.overlapping_batches(table(spark, folder, "documents"), N_ROWS, "doc_id")
     return first.select(F.lit("a").alias("batch"), "*").union(second.select(F.lit("b"), "*"))
+
+
+def _share_sql(seed):
+    return f"{bucket_sql('review_id', seed)} < {N_ROWS}::DOUBLE / (SELECT count(*) FROM text_reviews) * {WIDTH}"
+
+
+@query(with_text(f" SELECT * FROM text_reviews WHERE {_share_sql(100)} OR {_share_sql(42)}"))
+def demo_batches(spark, folder):
+    """Two overlapping batches, written as text and read back; the first makes the table, the second is merged into it."""
+    name = new_name("demo")
+    run_demo(spark, text_reviews(spark, folder), N_ROWS, scratch_path(spark, "demo"), name)
+    return taken(spark, name)

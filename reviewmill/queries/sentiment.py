@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from .. import sources as src
 from ..plans import category_sentiment, scored_category_reviews
-from ..session import scratch_path
 from .registry import query
+from .sampling import WIDTH, bucket_sql
 from .standins import (
-    NORMAL_SQL, TEXT_CATEGORY, TOKENS_SQL, documents, text_business, text_reviews, with_text, word_reviews,
+    NORMAL_SQL, TEXT_CATEGORY, TOKENS_SQL, documents, new_name, taken, text_business, text_reviews, with_text,
 )
 
 MODEL_SQL = f"""
@@ -19,12 +19,12 @@ MODEL_SQL = f"""
 , counts AS (
   SELECT word, count(*) FILTER (train_sentiment = 'positive') AS positive, count(*) FILTER (train_sentiment = 'negative') AS negative
   FROM (SELECT train_sentiment, unnest(normal) AS word FROM labelled WHERE train_sentiment IS NOT NULL) GROUP BY word)
-, vocabulary AS (SELECT * FROM counts WHERE positive + negative >= 5 ORDER BY positive + negative DESC, word LIMIT 65536)
-, totals AS (SELECT CAST(sum(positive) AS DOUBLE) AS p, CAST(sum(negative) AS DOUBLE) AS n, count(*) AS v FROM vocabulary)
+, totals AS (SELECT CAST(sum(positive) AS DOUBLE) AS p, CAST(sum(negative) AS DOUBLE) AS n, count(*) AS v FROM counts)
 , prior AS (
-  SELECT ln(count(*) FILTER (train_sentiment = 'positive') + 1) - ln(count(*) FILTER (train_sentiment = 'negative') + 1) AS s FROM labelled)
+  SELECT CAST(round((ln(count(*) FILTER (train_sentiment = 'positive') + 1) - ln(count(*) FILTER (train_sentiment = 'negative') + 1)) * 1000000000) AS BIGINT) AS s
+  FROM labelled)
 , weights AS (
-  SELECT word, ln((positive + 1) / (p + v)) - ln((negative + 1) / (n + v)) AS weight FROM vocabulary, totals)
+  SELECT word, CAST(round((ln((positive + 1) / (p + v)) - ln((negative + 1) / (n + v))) * 1000000000) AS BIGINT) AS weight FROM counts, totals)
 , scores AS (
   SELECT review_id, count(weight) AS known, (SELECT s FROM prior) + coalesce(sum(weight), 0) AS score
   FROM (SELECT review_id, unnest(normal) AS word FROM words) w LEFT JOIN weights ON weights.word = w.word GROUP BY review_id)
@@ -42,7 +42,7 @@ def _model(reviews):
 
 
 def _flagged(spark, folder):
-    reviews = word_reviews(spark, folder)
+    reviews = text_reviews(spark, folder)
     return op.right_prediction(op.score_sentiment(reviews, _model(reviews)))
 
 
@@ -70,19 +70,18 @@ def weak_labels(spark, folder):
 
 @query(with_text(f"{MODEL_SQL} SELECT word, positive, negative FROM counts"))
 def word_class_counts(spark, folder):
-    return op.word_class_counts(op.weak_labels(word_reviews(spark, folder)))
+    return op.word_class_counts(op.weak_labels(text_reviews(spark, folder)))
 
 
-@query(with_text(f"{MODEL_SQL} SELECT word FROM vocabulary"))
+@query(with_text(f"{MODEL_SQL} SELECT word, round(weight / 1000000000.0, 6) AS weight FROM weights"))
 def model_vocabulary(spark, folder):
-    """The words of the trained model itself."""
-    model = _model(word_reviews(spark, folder))
-    return spark.createDataFrame([[word] for word in model.stages[0].vocabulary], "word string")
+    """The trained model itself: every word of the labelled texts with its weight."""
+    return _model(text_reviews(spark, folder)).weights.select("word", F.round(F.col("weight") / 1e9, 6).alias("weight"))
 
 
 @query(with_text(f"{MODEL_SQL} SELECT * FROM scored"))
 def sentiment_scores(spark, folder):
-    reviews = word_reviews(spark, folder)
+    reviews = text_reviews(spark, folder)
     return _shown(op.score_sentiment(reviews, _model(reviews)))
 
 
@@ -105,10 +104,11 @@ def mispredicted_rows(spark, folder):
 
 @query(with_text(f"{MODEL_SQL} SELECT * FROM scored"))
 def scoring_job(spark, folder):
-    source, scored = scratch_path(spark, "reviews"), scratch_path(spark, "scored")
-    src.write_snapshot(text_reviews(spark, folder), source)
-    op.score_job(spark, source, scored, _model(src.read_snapshot(spark, source)))
-    return _shown(src.read_snapshot(spark, scored))
+    source, scored = new_name("reviews"), new_name("scored")
+    src.overwrite_table(text_reviews(spark, folder), source)
+    op.score_job(spark, source, scored, _model(spark.read.table(source)))
+    taken(spark, source)
+    return _shown(taken(spark, scored))
 
 
 CATEGORY_SQL = f"""
@@ -118,16 +118,42 @@ FROM flagged r JOIN text_business b ON b.business_id = r.business_id WHERE conta
 
 @query(with_text(CATEGORY_SQL))
 def category_reviews_scored(spark, folder):
-    reviews = word_reviews(spark, folder)
+    reviews = text_reviews(spark, folder)
     scored = scored_category_reviews(reviews, text_business(spark, folder), TEXT_CATEGORY, _model(reviews))
     return _shown(scored)
 
 
 @query(with_text(CATEGORY_SQL))
 def category_reviews_upserted(spark, folder):
-    """The main application twice on one path: create, then merge the same batch."""
-    reviews, business = word_reviews(spark, folder), text_business(spark, folder)
-    model, path = _model(reviews), scratch_path(spark, "category_sentiment")
+    """The main application twice on one table: create, then merge the same batch."""
+    reviews, business = text_reviews(spark, folder), text_business(spark, folder)
+    model, name = _model(reviews), new_name("category_sentiment")
     for _ in range(2):
-        category_sentiment(spark, reviews, business, TEXT_CATEGORY, model, path)
-    return _shown(src.read_snapshot(spark, path))
+        category_sentiment(spark, reviews, business, TEXT_CATEGORY, model, name)
+    return _shown(taken(spark, name))
+
+
+# Trained on four of five reviews by key; the others, without those of three stars, are what counts.
+TRAIN_SQL = f"{bucket_sql('review_id', 42)} < 0.8::DOUBLE * {WIDTH}"
+HELD_OUT_SQL = f"""
+{MODEL_SQL.replace("FROM words WHERE stars <> '3.0')", f"FROM words WHERE stars <> '3.0' AND {TRAIN_SQL})")}
+, held_out AS (SELECT * FROM flagged WHERE stars <> '3.0' AND NOT ({TRAIN_SQL}))"""
+
+
+def _held_out(spark, folder):
+    train, test = op.split(text_reviews(spark, folder), [0.8, 0.2], 42, "review_id")
+    return op.right_prediction(op.score_sentiment(op.weak_labels(test), _model(train)))
+
+
+@query(with_text(f"""
+{HELD_OUT_SQL} SELECT CAST(sum(right_prediction) AS BIGINT) AS "right", count(*) AS total,
+round(sum(right_prediction)::DOUBLE / count(*), 6) AS accuracy FROM held_out"""))
+def held_out_accuracy(spark, folder):
+    return op.accuracy(_held_out(spark, folder)).withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query(with_text(f"""
+{HELD_OUT_SQL} SELECT CASE WHEN stars IN ('5.0', '4.0') THEN 'positive' ELSE 'negative' END AS label, final_sentiment AS prediction, count(*) AS count
+FROM held_out GROUP BY ALL"""))
+def held_out_confusion(spark, folder):
+    return op.confusion(_shown(_held_out(spark, folder)), "train_sentiment", "final_sentiment").toDF("label", "prediction", "count")

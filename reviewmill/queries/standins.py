@@ -5,9 +5,11 @@
 * ``sales_reviews`` and ``sales_business``: line items and parts, for joins at volume.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..sources import read_table, spread
+from ..sources import read_table
 
 
 def table(spark, folder, name):
@@ -15,17 +17,24 @@ def table(spark, folder, name):
 
 
 def documents(spark, folder):
-    """For the queries that work on every word."""
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
+
+
+def new_name(prefix):
+    """A name for a catalog table that no other run uses."""
+    return f"{prefix}_{uuid.uuid4().hex}"
 
 
-def word_reviews(spark, folder):
-    """``text_reviews`` for the queries that work on every word."""
-    return text_reviews(spark, folder, documents(spark, folder))
+def taken(spark, name):
+    """The rows of a catalog table, which is then dropped. Its files stay, so the result can still be read."""
+    rows = spark.read.table(name)
+    rows.schema
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return rows
 
 
-def text_reviews(spark, folder, docs=None):
-    docs = table(spark, folder, "documents") if docs is None else docs
+def text_reviews(spark, folder):
+    docs = table(spark, folder, "documents")
     labels = table(spark, folder, "labels")
     good, toxic = F.col("quality") == 1, F.col("toxic") == 1
     stars = (

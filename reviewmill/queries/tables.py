@@ -1,7 +1,5 @@
 """Scans and sinks. Each query writes a given table to the shared scratch folder and reads it back."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import operators as op
@@ -9,7 +7,7 @@ from .. import sources as src
 from ..schemas import BUSINESS_SCHEMA, REVIEW_SCHEMA
 from ..session import scratch_path
 from .registry import query
-from .standins import NORMAL_SQL, table, text_reviews, with_text
+from .standins import NORMAL_SQL, new_name, table, taken, text_reviews, with_text
 
 ALL_REVIEWS = with_text("SELECT * FROM text_reviews")
 
@@ -60,23 +58,20 @@ def scan_parquet_by_format(spark, folder):
 
 
 @query(ALL_REVIEWS)
-def scan_snapshot(spark, folder):
-    path = scratch_path(spark, "scan_snapshot")
-    src.write_snapshot(text_reviews(spark, folder), path)
-    return src.read_snapshot(spark, path)
+def scan_mergeable_table(spark, folder):
+    name = new_name("reviews")
+    src.overwrite_table(text_reviews(spark, folder), name)
+    return taken(spark, name)
 
 
 @query(ALL_REVIEWS)
 def scan_catalog_table(spark, folder):
     """Save as a catalog table, read it by name, drop it. The files stay, so the result can still be read."""
-    name = f"reviews_{uuid.uuid4().hex}"
+    name = new_name("reviews")
     reviews = text_reviews(spark, folder)
     reviews.write.format("parquet").option("path", scratch_path(spark, name)).saveAsTable(name)
     reviews.write.mode("overwrite").option("path", scratch_path(spark, name)).saveAsTable(name)
-    result = spark.read.table(name)
-    result.schema
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return result
+    return taken(spark, name)
 
 
 @query("""
@@ -99,7 +94,7 @@ def scan_rows(spark, folder):
     """Phrases held in memory: how often one of their words occurs in a document."""
     phrases = spark.createDataFrame([[phrase] for phrase in PHRASES]).toDF("text")
     words = op.normalize(op.tokenize(phrases)).select("text", F.explode(F.array_distinct("normal")).alias("word"))
-    documents = op.normalize(op.tokenize(src.spread(table(spark, folder, "documents"))))
+    documents = op.normalize(op.tokenize(table(spark, folder, "documents")))
     found = documents.select(F.explode(F.array_distinct("normal")).alias("word"))
     # The phrases are constants of this query, so their words can go to every task.
     return found.join(F.broadcast(words), "word").groupBy("text").agg(F.count("*").alias("texts"))
@@ -123,24 +118,23 @@ def sink_parquet(spark, folder):
 
 
 @query(ALL_REVIEWS)
-def sink_snapshot_overwrite(spark, folder):
-    path = scratch_path(spark, "sink_snapshot_overwrite")
-    reviews = text_reviews(spark, folder)
-    src.write_snapshot(op.broken_rows(reviews, ["stars"]), path)
-    src.write_snapshot(reviews, path)
-    return src.read_snapshot(spark, path)
+def sink_table_overwrite(spark, folder):
+    name, reviews = new_name("reviews"), text_reviews(spark, folder)
+    src.overwrite_table(op.broken_rows(reviews, ["stars"]), name)
+    src.overwrite_table(reviews, name)
+    return taken(spark, name)
 
 
 @query("SELECT doc_id, CAST(NULL AS VARCHAR) AS text, quality, toxic FROM labels")
-def sink_snapshot_new_columns(spark, folder):
-    path = scratch_path(spark, "sink_snapshot_new_columns")
-    src.write_snapshot(table(spark, folder, "documents").select("doc_id", "text"), path)
-    src.write_snapshot(table(spark, folder, "labels"), path, merge_schema=True)
-    return src.read_snapshot(spark, path)
+def sink_table_new_columns(spark, folder):
+    name = new_name("documents")
+    src.overwrite_table(table(spark, folder, "documents").select("doc_id", "text"), name)
+    src.overwrite_table(table(spark, folder, "labels"), name, new_columns=True)
+    return taken(spark, name)
 
 
 @query("SELECT * FROM documents")
 def sink_adopt_parquet(spark, folder):
-    path = scratch_path(spark, "sink_adopt_parquet")
-    src.adopt_parquet(spark, f"{folder}/documents.parquet", path)
-    return src.read_snapshot(spark, path)
+    name = new_name("documents")
+    src.adopt_parquet(spark, f"{folder}/documents.parquet", name)
+    return taken(spark, name)

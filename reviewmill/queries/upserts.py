@@ -3,11 +3,9 @@
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from .. import sources as src
 from ..plans.category_sentiment import SCORED_COLUMNS
-from ..session import scratch_path
 from .registry import query
-from .standins import table
+from .standins import new_name, table, taken
 
 SCORED = ["review_id", "business_id", "text", "date", "categories", "stars", "final_sentiment", "right_prediction"]
 
@@ -84,10 +82,10 @@ def upsert_leaves_stars_and_flag(spark, folder):
 @query(merge_sql(SCORED_COLUMNS))
 def upsert_by_path(spark, folder):
     """The first batch creates the table, the second is merged into it."""
-    path = scratch_path(spark, "upsert_by_path")
+    name = new_name("upsert")
     for batch in (scored_target(spark, folder), scored_updates(spark, folder)):
-        op.upsert_path(spark, path, batch, "review_id", SCORED_COLUMNS, SCORED_COLUMNS)
-    return _shown(src.read_snapshot(spark, path))
+        op.upsert_table(spark, name, batch, "review_id", SCORED_COLUMNS, SCORED_COLUMNS)
+    return _shown(taken(spark, name))
 
 
 @query("""

@@ -1,3 +1,3 @@
 from .delimited import convert, read_delimited, write_delimited
-from .tables import read_json_records, read_lines, read_table, spread, write_parquet
-from .snapshots import adopt_parquet, append_snapshot, is_snapshot, read_snapshot, snapshot_versions, write_snapshot
+from .tables import read_json_records, read_lines, read_table, write_parquet
+from .catalog import adopt_parquet, append_table, overwrite_table, table_exists

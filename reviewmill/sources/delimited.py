@@ -21,7 +21,7 @@ def _map_strings(df, schema, change):
     return df.select([change(F.col(c)).alias(c) if c in strings else F.col(c) for c in df.columns])
 
 
-def read_delimited(spark, path, schema, sep="|", null_text=None, one_line=False):
+def read_delimited(spark, path, schema, sep="|", null_text=None, one_line=True):
     """Scan with a fixed schema. Bad numbers become NULL, short rows are filled with NULL.
 
     An empty field is NULL, and so is a quoted empty one unless ``one_line`` says that the file holds texts
@@ -36,7 +36,7 @@ def read_delimited(spark, path, schema, sep="|", null_text=None, one_line=False)
     return _map_strings(df, df.schema, decode_lines) if one_line else df
 
 
-def write_delimited(df, path, sep="|", mode="overwrite", one_line=False):
+def write_delimited(df, path, sep="|", mode="overwrite", one_line=True):
     """Write text as it is: blanks at both ends stay, NULL is an empty field, '' a quoted one."""
     if one_line:
         df = _map_strings(df, df.schema, encode_lines)

@@ -9,18 +9,6 @@ def read_table(spark, path):
     return spark.read.parquet(path)
 
 
-def spread(df, bytes_per_core=16 * 2 ** 20):
-    """Deal the rows of a small table out to all cores, for work that costs much per row.
-
-    A file with a single row group is read by one task however many cores there are. Above
-    ``bytes_per_core`` for every core the table has splits enough and nothing is moved; the size is that of Spark's own
-    estimate, so hand in a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * bytes_per_core else df
-
-
 def write_parquet(df, path, mode="errorifexists"):
     df.write.mode(mode).parquet(path)
 

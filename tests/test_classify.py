@@ -1,11 +1,12 @@
 import math
+import uuid
 
+import pytest
 from conftest import rows
 from pyspark.ml.feature import Tokenizer
 from pyspark.sql import functions as F
 
 from reviewmill import operators as op
-from reviewmill import sources as src
 from reviewmill.functions import plain_words
 from reviewmill.plans import demo_batches, star_model
 
@@ -80,11 +81,18 @@ def test_metrics_of_an_unpredicted_and_an_unlabelled_class(spark):
     assert rows(op.confusion(pairs)) == [(0.0, 0.0, 3), (0.0, 2.0, 1), (1.0, 0.0, 1)]
 
 
-def test_star_model(spark, path):
+@pytest.fixture
+def name(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_star_model(spark, name):
     reviews = texts(spark).union(spark.createDataFrame([("x", None, "5.0"), ("y", "no stars", None)], texts(spark).schema))
-    model, f1, metrics = star_model(spark, reviews, path, max_iter=20)
+    model, f1, metrics = star_model(spark, reviews, name, max_iter=20)
     assert model.numClasses == 3 and f1 > 0.9
-    predictions = src.read_snapshot(spark, path)
+    predictions = spark.read.table(name)
     assert predictions.columns == ["review_id", "stars", "label", "prediction"]
     assert predictions.count() == sum(r.support for r in metrics)
 
@@ -96,9 +104,8 @@ def test_embeddings(spark):
     assert found.where("label != prediction").count() == 0
 
 
-def test_demo_batches(spark, tmp_path):
+def test_demo_batches(spark, name, tmp_path):
     reviews = texts(spark)
-    version = demo_batches(spark, reviews, 40, str(tmp_path / "small"), str(tmp_path / "table"))
+    demo_batches(spark, reviews, 40, str(tmp_path / "small"), name)
     first, second = op.overlapping_batches(reviews, 40, "review_id")
-    assert version == 2
-    assert rows(src.read_snapshot(spark, str(tmp_path / "table"))) == rows(first.union(second).distinct())
+    assert rows(spark.read.table(name)) == rows(first.union(second).distinct())

@@ -92,12 +92,22 @@ def test_narrow_operators_do_not_shuffle(spark, name):
     assert "Exchange hashpartitioning" not in executed(QUERIES[name](spark, FOLDER))
 
 
-def test_sentiment_model_is_bounded(spark):
-    reviews = spark.range(400).select(
-        F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.concat(F.lit("w"), F.translate((F.col("id") % 37 * i).cast("string"), "0123456789", "abcdefghij")))).alias("text"),
-        F.when(F.col("id") % 3 == 0, "positive").otherwise("negative").alias("train_sentiment"))
-    model = op.train_sentiment(reviews, max_words=50)
-    assert len(model.stages[0].vocabulary) == 50
+def test_a_hot_word_is_split_over_tasks(spark, no_broadcast):
+    texts = spark.range(0, 60_000, 1, 16).select(F.concat(F.lit("hot "), F.translate(F.sha2(F.col("id").cast("string"), 256), "0123456789", "ghijklmnop")).alias("text"))
+    weights = texts.limit(2000).select(F.substring_index("text", " ", -1).alias("word")).union(spark.createDataFrame([("hot",)], "word string"))
+    model = op.SentimentModel(weights.withColumn("weight", F.lit(1).cast("long")), 0)
+    scored = op.score_sentiment(texts, model)
+    assert "skew=true" in executed(scored)
+    assert scored.where("final_sentiment[0] = 'positive'").count() == 60_000
+
+
+def test_no_query_deals_rows_out_anew(spark):
+    for name in ("tokenize_texts", "sentiment_scores", "ml_words", "document_frequencies", "tfidf_features", "scan_rows", "embedding_predictions"):
+        assert "REPARTITION_BY_NUM" not in executed(QUERIES[name](spark, FOLDER))
+
+
+def test_term_counts_stay_in_their_rows(spark):
+    assert "Exchange" not in executed(QUERIES["term_counts"](spark, FOLDER))
 
 
 def test_balance_moves_no_row_by_class(spark, tmp_path):

@@ -1,8 +1,10 @@
+import uuid
+
 import pytest
 from conftest import executed, rows
 
 from reviewmill import sources as src
-from reviewmill.operators import AmbiguousUpdate, upsert, upsert_path
+from reviewmill.operators import AmbiguousUpdate, upsert, upsert_table
 
 SCHEMA = "id string, a string, b int"
 
@@ -59,30 +61,50 @@ def test_unknown_columns_are_refused(spark):
         upsert(frame(spark, ("1", "x", 1)), frame(spark, ("1", "y"), schema="id string, a string"), "id")
 
 
-def test_path_is_created_then_merged(spark, path):
-    batch = frame(spark, ("1", "a", 1), ("2", "a", 2))
-    assert upsert_path(spark, path, batch, "id") == 1
-    assert upsert_path(spark, path, frame(spark, ("2", "b", 3), ("3", "b", 4)), "id") == 2
-    once = rows(src.read_snapshot(spark, path))
-    assert once == [("1", "a", 1), ("2", "b", 3), ("3", "b", 4)]
-    upsert_path(spark, path, frame(spark, ("2", "b", 3), ("3", "b", 4)), "id")
-    assert rows(src.read_snapshot(spark, path)) == once
-    assert rows(src.read_snapshot(spark, path, 1)) == rows(batch)
+@pytest.fixture
+def name(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_a_batch_without_matches_is_appended(spark, path, tmp_path):
-    upsert_path(spark, path, frame(spark, ("1", "a", 1), (None, "a", 0)), "id")
-    first = src.read_snapshot(spark, path).inputFiles()
-    assert upsert_path(spark, path, frame(spark, ("2", "b", 2), ("2", "c", 2), (None, "b", 3)), "id", ["id", "a"], ["id", "a"]) == 2
-    assert set(first) <= set(src.read_snapshot(spark, path).inputFiles())
-    assert rows(src.read_snapshot(spark, path)) == [
+def test_a_table_is_created_then_merged(spark, name):
+    upsert_table(spark, name, frame(spark, ("1", "a", 1), ("2", "a", 2)), "id")
+    upsert_table(spark, name, frame(spark, ("2", "b", 3), ("3", "b", 4)), "id")
+    once = rows(spark.read.table(name))
+    assert once == [("1", "a", 1), ("2", "b", 3), ("3", "b", 4)]
+    upsert_table(spark, name, frame(spark, ("2", "b", 3), ("3", "b", 4)), "id")
+    assert rows(spark.read.table(name)) == once
+    with pytest.raises(AmbiguousUpdate):
+        upsert_table(spark, name, frame(spark, ("2", "x", 3), ("2", "y", 4)), "id")
+    assert rows(spark.read.table(name)) == once
+
+
+def test_a_batch_without_matches_is_appended(spark, name):
+    upsert_table(spark, name, frame(spark, ("1", "a", 1), (None, "a", 0)), "id")
+    first = spark.read.table(name).inputFiles()
+    upsert_table(spark, name, frame(spark, ("2", "b", 2), ("2", "c", 2), (None, "b", 3)), "id", ["id", "a"], ["id", "a"])
+    assert set(first) <= set(spark.read.table(name).inputFiles())
+    assert rows(spark.read.table(name)) == [
         ("1", "a", 1), ("2", "b", None), ("2", "c", None), (None, "a", 0), (None, "b", None),
     ]
-    assert src.read_snapshot(spark, path, 1).count() == 2
-    upsert_path(spark, path, frame(spark, ("1", "z", 9)), "id")
-    assert not set(first) & set(src.read_snapshot(spark, path).inputFiles())
-    assert src.read_snapshot(spark, path).where("a = 'z'").count() == 1
-    assert src.read_snapshot(spark, path).count() == 5
+    upsert_table(spark, name, frame(spark, ("1", "z", 9)), "id")
+    assert not set(first) & set(spark.read.table(name).inputFiles())
+    assert spark.read.table(name).where("a = 'z'").count() == 1 and spark.read.table(name).count() == 5
+
+
+def test_a_batch_is_computed_once(spark, name):
+    upsert_table(spark, name, frame(spark, ("1", "a", 1), ("2", "a", 2)), "id")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    batch = frame(spark, ("2", "b", 3), ("3", "b", 4)).mapInArrow(count, SCHEMA)
+    upsert_table(spark, name, batch, "id")
+    assert seen.value == 2 and spark.read.table(name).count() == 3
 
 
 def test_empty_sides(spark):
