@@ -61,9 +61,9 @@ def stars_to_double(df, col="stars"):
     return df.withColumn(col, F.col(col).try_cast("double"))
 
 
-def preview(df, n=20, order_by=None):
+def preview(df, order_by, n=20):
     """First n rows by ``order_by``: each task keeps its own n, no full sort."""
-    return df.orderBy(*(order_by or df.columns)).limit(n)
+    return df.orderBy(*order_by).limit(n)
 
 
 def set_difference(left, right):

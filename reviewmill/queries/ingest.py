@@ -114,14 +114,18 @@ def values_between_names(spark, folder):
 
 
 @query(f"""
-SELECT business_id, concat_ws('|', name, address, city, state, postal_code, CAST(review_count AS VARCHAR), CAST(is_open AS VARCHAR),
+SELECT business_id, concat_ws('|', name, address, city, state, postal_code, CAST(round(latitude * 1000) AS BIGINT), CAST(round(longitude * 1000) AS BIGINT),
+       CAST(round(stars * 1000) AS BIGINT), CAST(review_count AS VARCHAR), CAST(is_open AS VARCHAR),
        attributes, '', coalesce(categories, 'null'), 'null') AS line, CAST(14 AS INTEGER) AS n_values FROM ({BUSINESS_SQL})""")
 def business_key_values(spark, folder):
-    """The values as one line, without the three floating-point ones."""
+    """The values as one line, floating-point ones in thousandths."""
     pairs = op.business_key_values(_json_lines(part_business(spark, folder)))
     names = [*BUSINESS_FIELDS[1:]]
     names.insert(names.index("categories"), "")
-    shown = [F.col("values")[i] for i, name in enumerate(names) if name not in ("latitude", "longitude", "stars")]
+    shown = [
+        F.round(F.col("values")[i].cast("double") * 1000).cast("bigint").cast("string") if name in ("latitude", "longitude", "stars") else F.col("values")[i]
+        for i, name in enumerate(names)
+    ]
     return pairs.select("business_id", F.concat_ws("|", *shown).alias("line"), F.size("values").alias("n_values"))
 
 
@@ -142,6 +146,14 @@ def convert_to_parquet(spark, folder):
     return src.read_table(spark, table_path)
 
 
+@query(ALL_REVIEWS)
+def ingested_rows(spark, folder):
+    """The table that the report is about."""
+    lines, path = _written(_json_lines(text_reviews(spark, folder)), "dump"), scratch_path(spark, "dump_table")
+    ingest_dump(spark, lines, scratch_path(spark, "dump_text"), path, REVIEW_SCHEMA, ["business_id"])
+    return src.read_table(spark, path)
+
+
 @query(with_text("""
 SELECT count(*) AS total, count(*) FILTER (stars IS NULL) AS broken, CAST(0 AS BIGINT) AS null_business_id,
        count(*) FILTER (stars IS NULL) AS null_stars FROM text_reviews"""))

@@ -142,7 +142,7 @@ def sort_ascending(spark, folder):
 @query("SELECT event_id, event_type, value FROM events ORDER BY value DESC, event_id LIMIT 20")
 def preview_rows(spark, folder):
     events = table(spark, folder, "events").select("event_id", "event_type", "value")
-    return op.preview(events, 20, [F.col("value").desc(), "event_id"])
+    return op.preview(events, [F.col("value").desc(), "event_id"])
 
 
 @query("SELECT doc_id AS id, text FROM documents UNION ALL SELECT page_id, html FROM pages")

@@ -73,7 +73,7 @@ def test_stars_to_double(spark):
 
 
 def test_preview_is_ordered(spark):
-    assert [r.id for r in op.preview(spark.range(100).repartition(7), 3).collect()] == [0, 1, 2]
+    assert [r.id for r in op.preview(spark.range(100).repartition(7), ["id"], 3).collect()] == [0, 1, 2]
 
 
 def test_set_difference_drops_duplicates(spark):
