@@ -84,16 +84,16 @@ def source_targets(sizes, curriculum=CURRICULUM, max_repeats=MAX_REPEATS, budget
     return table.select("source", "source_size", "schedule", target.alias("target"))
 
 
-def curriculum_mix(docs, curriculum=CURRICULUM, max_repeats=MAX_REPEATS, budget=None):
+def curriculum_mix(docs, curriculum=CURRICULUM, max_repeats=MAX_REPEATS, budget=None, keep=None):
     """Each document with its place in the mix.
 
-    Returns ``row`` (all columns of the document), size, source_size, target, taken (words, repeats counted), copies (how often the
+    Returns ``row`` (all columns of the document, or those in ``keep``), size, source_size, target, taken (words, repeats counted), copies (how often the
     whole document appears) and ``times``, the training time of each copy. ``budget`` is in words, by default those of
     all documents.
     """
     code = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select(
-        F.struct("*").alias("row"), F.col("source").alias("source"), F.col("doc_id").alias("_id"), text_size(F.col("text")).alias("size"), code.alias("_code"),
+        F.struct(*(keep or ["*"])).alias("row"), F.col("source").alias("source"), F.col("doc_id").alias("_id"), text_size(F.col("text")).alias("size"), code.alias("_code"),
     )
     bucket = F.conv(F.substring("_code", 1, BUCKET_DIGITS), 16, 10).cast("int")
     sizes = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")

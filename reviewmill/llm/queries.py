@@ -52,8 +52,7 @@ SELECT doc_id, size, source_size, target, CAST(passes * size + greatest(0, least
 FROM rests""")
 def op10_curriculum_mixing(spark, folder):
     """The mix of all documents in training order: rows are sorted by the time of their first copy."""
-    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
-    mixed = mixing.curriculum_mix(docs)
+    mixed = mixing.curriculum_mix(table(spark, folder, "documents"), keep=["doc_id"])
     first = mixed.select("row.doc_id", "size", "source_size", "target", "taken", "copies", F.try_element_at("times", F.lit(1)).alias("_time"))
     return first.orderBy(F.col("_time").asc_nulls_last(), "doc_id").drop("_time")
 
