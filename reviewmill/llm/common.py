@@ -24,22 +24,25 @@ def stored(df, name, **options):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def prefix_sums(df, groups, bucket, order, value, name):
+def prefix_sums(df, groups, bucket, order, value, name, per_group=None):
     """Add ``name``: the sum of ``value`` over the rows before, per group, in the order (bucket, *order).
 
     ``bucket`` must ascend with the order. Rows are only brought together by group and bucket, so a group that holds a third
     of all rows is spread over as many tasks as it has buckets; the sums of the buckets are added up apart, one row each.
+    ``per_group`` is a table with one row per group whose other columns are added too, by way of the sums.
     """
-    df = df.withColumn("_bucket", bucket).withColumn("_value", value)
+    # NULL is a group of its own. Plain keys let the window and the join share one shuffle.
+    def keyed(table):
+        table = table.withColumns({f"_none{i}": F.col(g).isNull() for i, g in enumerate(groups)})
+        return table.withColumns({f"_group{i}": F.coalesce(F.col(g).cast("string"), F.lit("")) for i, g in enumerate(groups)})
+
+    same = [f"_{part}{i}" for i in range(len(groups)) for part in ("none", "group")]
     before = (Window.unboundedPreceding, -1)
-    keys = [*groups, "_bucket"]
-    sums = df.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
-    base = sums.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys],
-        F.coalesce(F.sum("_sum").over(Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(*before)), F.lit(0)).alias("_base"),
-    )
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*before)
-    df = df.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    joined = df.join(base, same)
-    return joined.withColumn(name, F.col("_base") + F.col("_inside")).drop("_bucket", "_value", "_inside", "_base", *[f"_of_{k}" for k in keys])
+    df = keyed(df).withColumn("_bucket", bucket).withColumn("_value", value)
+    base = df.groupBy(*same, "_bucket").agg(F.sum("_value").alias("_sum"))
+    base = base.withColumn("_base", F.coalesce(F.sum("_sum").over(Window.partitionBy(*same).orderBy("_bucket").rowsBetween(*before)), F.lit(0))).drop("_sum")
+    if per_group is not None:
+        base = base.join(keyed(per_group).drop(*groups), same)
+    inside = Window.partitionBy(*same, "_bucket").orderBy(*order).rowsBetween(*before)
+    df = df.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0))).join(base, [*same, "_bucket"])
+    return df.withColumn(name, F.col("_base") + F.col("_inside")).drop(*same, "_bucket", "_value", "_inside", "_base")

@@ -98,9 +98,7 @@ def curriculum_mix(docs, curriculum=CURRICULUM, max_repeats=MAX_REPEATS, budget=
     bucket = F.conv(F.substring("_code", 1, BUCKET_DIGITS), 16, 10).cast("int")
     sizes = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     targets = source_targets(sizes, curriculum, max_repeats, budget)
-    rows = prefix_sums(rows, ["source"], bucket, ["_code", "_id", "size"], F.col("size"), "_before")
-    targets = targets.withColumnRenamed("source", "_source")
-    rows = rows.join(targets, F.col("source").eqNullSafe(F.col("_source")))
+    rows = prefix_sums(rows, ["source"], bucket, ["_code", "_id", "size"], F.col("size"), "_before", targets)
     size, before, whole = F.col("size"), F.col("_before"), F.col("source_size")
     passes = F.when(whole > 0, F.floor(F.col("target") / whole)).otherwise(F.lit(0))
     rest = F.when(whole > 0, F.floor(F.col("target")) - F.col("_passes") * whole).otherwise(F.lit(0))
