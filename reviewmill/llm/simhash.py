@@ -5,9 +5,8 @@ Fingerprint: bit j is set if it is set in more than half of the XXH64 hashes (se
 Anchors: the 64 bits are the direct sum of four perfect codes, of 23, 23, 15 and 3 bits, with covering radii 3, 3, 1 and 1, so that
 every point has exactly one anchor (codeword) within those radii. Two fingerprints that differ in at most two bits have a
 point between them, at most one bit from either; the anchor of that point is within the covering radius plus one bit, the
-threshold's share of each side, of both. So each fingerprint is copied to all anchors within that reach, 17 on average
-instead of the 65 points around it or the 700 anchors within radius plus whole threshold. Anchors with one fingerprint are
-dropped. At the others, fingerprints meet at the points between them that belong to the anchor: at most 65 can share such
+threshold's share of each side, of both. So each fingerprint is copied to all anchors within that reach, 17 on average (counted), where
+reaching the other side's own anchor would take 165 (counted). Anchors with one fingerprint are dropped. At the others, fingerprints meet at the points between them that belong to the anchor: at most 65 can share such
 a point, and any two that do differ in at most two bits. So no anchor, however crowded, compares all its pairs, and no link is lost.
 
 Links join distinct fingerprints; copies of a text have the same one and are counted once. Components come from stars (``graph``).
