@@ -32,7 +32,7 @@ MAX_ROWS = 20_000
 FIT_TASKS = 8
 HIDDEN = 32
 ACCEPT = 0.3
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _BLANK = np.array([c in b" \t\n\r\x0b\x0c" for c in range(256)])
