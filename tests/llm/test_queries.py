@@ -216,6 +216,26 @@ def test_pipeline_stages(spark, docs):
     assert sum(sizes.values()) == 230 and set(sizes.values()) <= {9, 10}
 
 
+def similar_groups(texts):
+    """Least key of the group of each key, by brute force: links are Jaccard similarities of 0.8 or more of the five-word shingle sets."""
+    keys, sets = list(texts), []
+    for text in texts.values():
+        words = re.findall(f"[^{BLANK}]+", lowered(text))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    least = {k: k for k in keys}
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                one, other = sorted((least[keys[i]], least[keys[j]]))
+                least = {k: one if v == other else v for k, v in least.items()}
+    return least
+
+
+def test_pipeline_drops_near_copies_by_shingle_sets(spark, docs):
+    kept = corpus_pipeline.drop_near_copies(spark, read(spark, "documents"), FOLDER)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(set(similar_groups({d.doc_id: d.text for d in docs}).values()))
+
+
 def test_pipeline_as_a_whole(spark):
     result = corpus_pipeline.run(spark, FOLDER)
     assert result.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "slot"]

@@ -312,3 +312,45 @@ def test_scan_learns_from_formats(spark):
     assert found.where("secret AND doc_id % 2 = 1").count() == 0
     assert found.where("secret AND doc_id % 2 = 0").count() >= 55
     assert secrets.scan(documents(spark, ["nothing", None])).count() == 0
+
+
+# Near copies by shingle sets
+
+def _near_copies(draw, n, changed):
+    """A text of n words of its own, and a copy with some of them changed, far from each other."""
+    words = [f"w{x}" for x in draw.integers(0, 1 << 40, n)]
+    other = list(words)
+    for i in range(changed):
+        other[(2 * i + 1) * n // (2 * changed)] += "x"
+    return " ".join(words), " ".join(other)
+
+
+def _jaccard(a, b):
+    a, b = (({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_of_a_similarity_of_eight_tenths_leave_one_row(spark):
+    draw = np.random.default_rng(8)
+    texts, want = [], []
+    for i in range(150):
+        first, second = _near_copies(draw, 200 + i, 1 + i % 7)
+        want += [len(texts)] + [len(texts) + 1] * (_jaccard(first, second) < 0.8)
+        texts += [first, second]
+    found = [r.doc_id for r in simhash.first_of_each(documents(spark, texts)).select("doc_id").orderBy("doc_id").collect()]
+    assert found == want and 150 < len(want) < 250
+
+
+def test_crowded_fingerprints_lose_no_pair(spark, monkeypatch):
+    """Texts of a chain are near only to their neighbours and share most fingerprints; small blocks split each of these."""
+    monkeypatch.setattr(simhash, "BLOCK", 4)
+    words = [f"v{i}" for i in range(300)]
+    chain = [" ".join([*(f"new{j}" for j in range(12 * i)), *words[12 * i :]]) for i in range(12)]
+    apart = [" ".join([f"other{i}x{j}" for j in range(60 + i)] + words[:150]) for i in range(6)]
+    kept = {r.doc_id for r in simhash.first_of_each(documents(spark, chain + apart)).collect()}
+    parent = list(range(18))
+    for i in range(18):
+        for j in range(i):
+            if _jaccard((chain + apart)[i], (chain + apart)[j]) >= 0.8:
+                parent = [min(parent[i], parent[j]) if p in (parent[i], parent[j]) else p for p in parent]
+    assert kept == set(parent) and len(kept) < 18
