@@ -8,8 +8,9 @@ comes out, the wrapper, matches every page it was made from.
 
 From the wrapper follows the region of the main text: the article elements outside of boilerplate, else the main element, else the
 deepest element that holds three quarters of the text outside of links and boilerplate. Boilerplate are menus, headers, footers, sidebars,
-forms, what a class, id or role calls an advert, notice, comment and so on, and plain boxes in the region that say the same on all
-pages of a host although the articles differ. Each page is then walked along its host's wrapper.
+forms, what a whole class, id or role calls an advert, notice, comment and so on (words that may mean something else, and parts of a
+longer class or id, only if the element is mostly links or fixed over the host), and plain boxes in the region that say the same on all
+pages of a host although the articles differ. Marks never drop html, body, main, article, headings or the region itself. Each page is then walked along its host's wrapper.
 
 Blocks are block elements; character references are decoded; white space in a block becomes one space.
 
@@ -67,6 +68,15 @@ MARKS = set(
     " footer header masthead topbar toolbar pagination pager comment comments commentlist respond reply replies disqus discussion share sharing social"
     " related recommended recommendations widget search form complementary contentinfo disclaimer".split()
 )
+# Those that name nothing else when they are a whole class or id, apart from numbers. Others, and words within a longer class or id, are weak:
+# they are slugs of headings or layout words as often ("related-work", "no-sidebar") and count only if the element confirms them.
+SURE = set(
+    "ad ads advert adverts advertisement adsbox sponsored cookie cookies gdpr popup modal overlay newsletter paywall sidebar aside nav navbar menubar"
+    " breadcrumb breadcrumbs footer masthead topbar toolbar pagination pager comment comments commentlist respond disqus".split()
+)
+WEAK = "?"
+# Elements that marks never drop.
+KEPT = set("html body main article h1 h2 h3 h4 h5 h6".split())
 MAIN_MARKS = {"main"}
 BOXES = {"div", "section", "span", "ul", "ol", "table", "blockquote", "figure"}
 
@@ -78,16 +88,24 @@ class Node:
         self.name, self.marks, self.kids, self.link = name, marks, [], link
 
 
-def _marks(attributes):
+def _marks(attributes, name):
     found = set()
     for kind, *values in _NAMED.findall(attributes):
-        value = next((v for v in values if v), "").lower()
-        if kind.lower() == "itemprop":
+        kind, value = kind.lower(), next((v for v in values if v), "").lower()
+        if kind == "itemprop":
             if value == "articlebody":
                 found.add("articlebody")
             continue
-        words = set(_WORD.findall(value))
-        found |= words & MARKS | words & MAIN_MARKS if kind.lower() == "role" else words & MARKS
+        if kind == "role":
+            found |= set(_WORD.findall(value)) & MAIN_MARKS
+        if name in KEPT:
+            continue
+        for token in value.split():
+            words = _WORD.findall(token)
+            marks = MARKS.intersection(words)
+            # A token of nothing but marks ("cookie-notice") is sure as well; roles are a fixed vocabulary.
+            sure = kind == "role" or len(marks) == len(set(words)) and (len(words) > 1 or marks <= SURE)
+            found |= marks if sure else {WEAK + m for m in marks}
     return tuple(sorted(found))
 
 
@@ -118,7 +136,7 @@ def parse(page):
             _close(stack, {"p"}, {"td", "th", "li", "div", "section", "article", "main", "aside", "button", "table"})
         if name in ENDS:
             _close(stack, *ENDS[name])
-        node = Node(name, _marks(token["attributes"]) if token["attributes"] else (), name == "a" or stack[-1].link)
+        node = Node(name, _marks(token["attributes"], name) if token["attributes"] else (), name == "a" or stack[-1].link)
         stack[-1].kids.append(node)
         if name not in VOID and not token["attributes"].endswith("/"):
             stack.append(node)
@@ -137,8 +155,28 @@ def _close(stack, names, borders):
             return
 
 
-def skipped(name, marks):
-    return name in SKIPPED or any(m in MARKS for m in marks) and "articlebody" not in marks
+def skipped(name, marks, by_marks=True):
+    return name in SKIPPED or by_marks and any(m in MARKS for m in marks) and "articlebody" not in marks
+
+
+def weak(marks):
+    return any(m[0] == WEAK for m in marks) and "articlebody" not in marks
+
+
+def mostly_links(node):
+    """More than half of the text stands in links."""
+    links = others = 0
+    todo = [node]
+    while todo:
+        here = todo.pop()
+        for kid in here.kids:
+            if isinstance(kid, Node):
+                todo.append(kid)
+            elif here.link:
+                links += len("".join(kid.split()))
+            else:
+                others += len("".join(kid.split()))
+    return links > others
 
 
 def label(node):
@@ -230,18 +268,21 @@ def region(items):
     """Names of the elements of the main text: "article", "main" or ("path", ...) to the element with most of the text."""
     found = set()
 
-    def walk(level):
+    def walk(level, by_marks):
         for item in level:
             name, marks = _parts(item[0])
-            if skipped(name, marks):
+            if skipped(name, marks, by_marks):
                 continue
             if name == "article" or "articlebody" in marks:
                 found.add("article")
             if name == "main" or "main" in marks:
                 found.add("main")
-            walk(item[5])
+            walk(item[5], by_marks)
 
-    walk(items)
+    walk(items, True)
+    if not found and not sum(map(_kept, items)):
+        # All text is in elements with marks.
+        walk(items, False)
     if found:
         return "article" if "article" in found else "main"
     path, level = [], items
@@ -271,7 +312,8 @@ def fixed_boxes(wrapper):
 
     def walk(level):
         for item in level:
-            if _parts(item[0])[0] in BOXES and item[4] and item[1] == 1 and len(item[4]) < 200:
+            name, marks = _parts(item[0])
+            if (name in BOXES or weak(marks)) and item[4] and item[1] == 1 and len(item[4]) < 200:
                 found.add((item[0], item[4]))
             walk(item[5])
 
@@ -279,7 +321,7 @@ def fixed_boxes(wrapper):
     return found
 
 
-def blocks(tree, where, fixed=frozenset()):
+def blocks(tree, where, fixed=frozenset(), by_marks=True):
     """The blocks of the main text of a page."""
     out, run = [], []
 
@@ -289,6 +331,13 @@ def blocks(tree, where, fixed=frozenset()):
             out.append(text)
         run.clear()
 
+    def dropped(node):
+        if skipped(node.name, node.marks, by_marks):
+            return True
+        if by_marks and weak(node.marks) and mostly_links(node):
+            return True
+        return bool(fixed) and (node.name in BOXES or weak(node.marks)) and (label(node), _whole(node)) in fixed
+
     def emit(node):
         # An explicit stack, as pages may nest without end.
         todo = [(node, False)]
@@ -298,7 +347,7 @@ def blocks(tree, where, fixed=frozenset()):
                 run.append(here)
             elif ended:
                 flush()
-            elif not skipped(here.name, here.marks) and not (fixed and here.name in BOXES and (label(here), _whole(here)) in fixed):
+            elif here is node or not dropped(here):
                 if here.name in BLOCKS:
                     flush()
                     todo.append((here, True))
@@ -306,7 +355,7 @@ def blocks(tree, where, fixed=frozenset()):
                     run.append(" " if here.name == "br" else "")
                 todo += [(k, False) for k in reversed(here.kids)]
 
-    for node in places(tree, where):
+    for node in places(tree, where, dropped):
         flush()
         emit(node)
         flush()
@@ -325,14 +374,14 @@ def _whole(node):
     return " ".join(html.unescape(" ".join(texts)).split())[:200]
 
 
-def places(tree, where):
+def places(tree, where, dropped):
     """The elements of the region on this page; without any, the whole page."""
     found = []
     if isinstance(where, str):
         todo = [tree]
         while todo:
             here = todo.pop()
-            if isinstance(here, str) or skipped(here.name, here.marks):
+            if isinstance(here, str) or dropped(here):
                 continue
             if here.name == where or where == "article" and "articlebody" in here.marks or where == "main" and "main" in here.marks:
                 found.append(here)
@@ -408,7 +457,8 @@ def _extract(batches):
                 known[wrapper] = region(whole[3]), fixed_boxes(whole)
             where, fixed = known[wrapper]
             tree = parse(page)
-            texts.append("\n".join(blocks(tree, where, fixed)))
+            # A page whose whole text is in elements with marks keeps it.
+            texts.append("\n".join(blocks(tree, where, fixed) or blocks(tree, where, by_marks=False)))
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 

@@ -354,3 +354,26 @@ def test_crowded_fingerprints_lose_no_pair(spark, monkeypatch):
             if _jaccard((chain + apart)[i], (chain + apart)[j]) >= 0.8:
                 parent = [min(parent[i], parent[j]) if p in (parent[i], parent[j]) else p for p in parent]
     assert kept == set(parent) and len(kept) < 18
+
+
+# What marks must not drop, and what stands beside the main text
+
+def main_texts(spark, pages):
+    frame = spark.createDataFrame([(i, f"https://{host}/{i}", page) for i, (host, page) in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in html.main_texts(frame).orderBy("page_id").collect()]
+
+
+def test_marks_drop_no_body_region_or_slugged_section(spark):
+    inner = '<h2 id="related-work">Related</h2><section id="discussion">We discuss {0}.</section><p id="side-effects">Effects {0}.</p><h2 id="search">Search</h2>'
+    want = "Related\nWe discuss {0}.\nEffects {0}.\nSearch"
+    shells = [
+        '<body class="single right-sidebar"><article>{}</article></body>', '<div id="page" class="no-sidebar"><main>{}</main></div>',
+        '<article class="post has-comments">{}</article>', '<body class="search"><div class="overlay"><article>{}</article></div></body>',
+    ]
+    pages = [(f"h{n}.example", shell.format(inner.format(i))) for n, shell in enumerate(shells) for i in range(3)]
+    assert main_texts(spark, pages) == [want.format(i) for _ in shells for i in range(3)]
+
+
+def test_confirmed_marks_are_dropped(spark):
+    page = '<article><p>Text {0} of the page.</p><div class="related-posts"><a href=x>Other {0}</a> <a href=y>More</a></div><p class="site-notice">Same on all.</p><div class="cookie-notice">Cookies {0}</div><div class="sidebar">Side {0}</div></article>'
+    assert main_texts(spark, [("a.example", page.format(i)) for i in range(4)]) == [f"Text {i} of the page." for i in range(4)]
