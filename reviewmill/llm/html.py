@@ -7,7 +7,7 @@ resolved by looking ahead on both sides and making what is skipped optional, and
 comes out, the wrapper, matches every page it was made from.
 
 From the wrapper follows the region of the main text: the article elements outside of boilerplate, else the main element, else the
-deepest element that holds three quarters of the text outside of links and boilerplate. Boilerplate are menus, headers, footers, sidebars,
+deepest element with nothing beside it or its ancestors but links, boilerplate and texts that are the same on all pages. Boilerplate are menus, headers, footers, sidebars,
 forms, what a whole class, id or role calls an advert, notice, comment and so on (words that may mean something else, and parts of a
 longer class or id, only if the element is mostly links or fixed over the host), and plain boxes in the region that say the same on all
 pages of a host although the articles differ. Marks never drop html, body, main, article, headings or the region itself. Each page is then walked along its host's wrapper.
@@ -36,7 +36,6 @@ from .common import stored
 PARTS = 64
 HOSTS_AT_ONCE = 2000
 LOOK_AHEAD = 64
-SHARE = 0.75
 
 _TAG = r"[a-zA-Z][^\s/>]*+"
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*+"|'[^']*+')*+"""
@@ -264,8 +263,15 @@ def _parts(name):
     return name, tuple(marks)
 
 
-def region(items):
-    """Names of the elements of the main text: "article", "main" or ("path", ...) to the element with most of the text."""
+def articles_differ(wrapper):
+    """Whether what is the same on all pages of the wrapper can be told from what its articles say."""
+    pages, least, greatest, _ = wrapper
+    return pages >= 3 and least != greatest
+
+
+def region(items, known=False):
+    """Names of the elements of the main text: "article", "main" or ("path", ...) to the element with all of the text; ``known``: what the items
+    have as fixed is boilerplate."""
     found = set()
 
     def walk(level, by_marks):
@@ -288,9 +294,11 @@ def region(items):
     path, level = [], items
     while True:
         usable = [i for i in level if not skipped(*_parts(i[0]))]
-        total = sum(_kept(i) for i in usable)
         best = max(usable, key=_kept, default=None)
-        if best is None or best[0] == "#" or _parts(best[0])[0] not in BLOCKS or _kept(best) < SHARE * total or best[2] > 1:
+        if best is None or best[0] == "#" or _parts(best[0])[0] not in BLOCKS or best[2] > 1:
+            return ("path", *path)
+        # Whatever stands beside the main text and is not known to be fixed belongs to it.
+        if any(_kept(i) and not (known and i[1] == 1 and i[4]) for i in usable if i is not best):
             return ("path", *path)
         path.append(best[0])
         level = best[5]
@@ -305,9 +313,8 @@ def _kept(item):
 
 def fixed_boxes(wrapper):
     """(name, text) of plain boxes that say the same on all pages although the articles differ."""
-    pages, least, greatest, items = wrapper
-    found = set()
-    if pages < 3 or least == greatest:
+    items, found = wrapper[3], set()
+    if not articles_differ(wrapper):
         return found
 
     def walk(level):
@@ -454,7 +461,7 @@ def _extract(batches):
                 if len(known) > 1000:
                     known.clear()
                 whole = json.loads(wrapper)
-                known[wrapper] = region(whole[3]), fixed_boxes(whole)
+                known[wrapper] = region(whole[3], articles_differ(whole)), fixed_boxes(whole)
             where, fixed = known[wrapper]
             tree = parse(page)
             # A page whose whole text is in elements with marks keeps it.

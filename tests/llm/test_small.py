@@ -377,3 +377,16 @@ def test_marks_drop_no_body_region_or_slugged_section(spark):
 def test_confirmed_marks_are_dropped(spark):
     page = '<article><p>Text {0} of the page.</p><div class="related-posts"><a href=x>Other {0}</a> <a href=y>More</a></div><p class="site-notice">Same on all.</p><div class="cookie-notice">Cookies {0}</div><div class="sidebar">Side {0}</div></article>'
     assert main_texts(spark, [("a.example", page.format(i)) for i in range(4)]) == [f"Text {i} of the page." for i in range(4)]
+
+
+def test_what_varies_beside_the_main_box_stays(spark):
+    body = " ".join(f"word{i}" for i in range(80))
+    shells = [
+        "<div id=wrap><h1>Title {0}</h1><p>Lead {0}.</p><div class=content><p>{1} a{0}</p><p>{1} b{0}</p></div></div>",
+        "<div><h1>Title {0}</h1><p>{1} {0}</p></div>",
+        "<section>Our shop</section><div><h1>Title {0}</h1><p>{1} {0}</p></div><ul><li><a href=x>Link {0}</a></ul>",
+    ]
+    want = ["Title {0}\nLead {0}.\n{1} a{0}\n{1} b{0}", "Title {0}\n{1} {0}", "Title {0}\n{1} {0}"]
+    pages = [(f"h{n}.example", shell.format(i, body)) for n, shell in enumerate(shells) for i in range(4)]
+    assert main_texts(spark, pages) == [w.format(i, body) for w in want for i in range(4)]
+    assert main_texts(spark, [("one.example", shells[0].format(0, body))]) == [want[0].format(0, body)]
