@@ -1,7 +1,7 @@
 """Main text of web pages with wrappers inferred per host, as union-free regular expressions.
 
 A page is read as a stream of tags and texts, with left-out end tags put in. Its expression has one item per element: a name, how often it
-may come (once, optional, repeated), its most distinct text if it has one, and the expression of what it holds; runs of equal
+may come (once, optional, repeated), a digest of its whole text if that is the same on all pages, and the expression of what it holds; runs of equal
 elements are repeated items, texts are slots. Pages of a host are aligned item by item: equal names are merged, a mismatch is
 resolved by looking ahead on both sides and making what is skipped optional, and slots with different texts become variable. What
 comes out, the wrapper, matches every page it was made from.
@@ -23,6 +23,7 @@ url, or one without a host, belongs to a host of no name; broken tags and refere
 kept as text, as browsers do; repeated rows each give a row; empty tables give an empty table; other columns than page_id, url and html are left out.
 """
 
+import hashlib
 import html
 import json
 import re
@@ -183,26 +184,30 @@ def label(node):
     return node.name + "".join("." + m for m in node.marks)
 
 
-# An item is [name, least, most (1 or 2: repeated), characters outside of links, text or None if it varies, items].
+def digest(text):
+    """Length and digest of a text, to compare it whole."""
+    return f"{len(text)}:{hashlib.blake2b(text.encode('utf-8', 'surrogatepass'), digest_size=8).hexdigest()}" if text else ""
+
+
+# An item is [name, least, most (1 or 2: repeated), characters outside of links, digest of the whole text or None if it varies, items].
 def expression(node):
     """The items of an element's content."""
-    items, held = [], 0
+    return _expression(node)[0]
+
+
+def _expression(node):
+    items, whole = [], []
     for kid in node.kids:
         if isinstance(kid, str):
             text = " ".join(html.unescape(kid).split())
-            held += 0 if node.link else len(text)
             if text:
-                items.append(["#", 1, 1, 0 if node.link else len(text), text[:200], []])
-            continue
-        inner = expression(kid)
-        items.append([label(kid), 1, 1, sum(i[3] for i in inner), _only_text(inner), inner])
-    return _folded(items)
-
-
-def _only_text(items):
-    """The whole text of some items if it is fixed."""
-    texts = [i[4] for i in items]
-    return None if any(t is None for t in texts) else " ".join(t for t in texts if t)[:200]
+                items.append(["#", 1, 1, 0 if node.link else len(text), digest(text), []])
+        else:
+            inner, text = _expression(kid)
+            items.append([label(kid), 1, 1, sum(i[3] for i in inner), digest(text), inner])
+        if text:
+            whole.append(text)
+    return _folded(items), " ".join(whole)
 
 
 def _folded(items):
@@ -248,9 +253,9 @@ def align(a, b):
 
 
 def wrapper_of(tree):
-    """[pages, least and greatest text of the region (to see if articles differ), items] of one page."""
+    """[pages, least and greatest digest of the text of the region (to see if articles differ), items] of one page."""
     items = expression(tree)
-    words = "\n".join(blocks(tree, region(items)))[:200]
+    words = digest("\n".join(blocks(tree, region(items))))
     return [1, words, words, items]
 
 
@@ -312,7 +317,7 @@ def _kept(item):
 
 
 def fixed_boxes(wrapper):
-    """(name, text) of plain boxes that say the same on all pages although the articles differ."""
+    """(name, digest of the text) of plain boxes that say the same on all pages although the articles differ."""
     items, found = wrapper[3], set()
     if not articles_differ(wrapper):
         return found
@@ -320,7 +325,7 @@ def fixed_boxes(wrapper):
     def walk(level):
         for item in level:
             name, marks = _parts(item[0])
-            if (name in BOXES or weak(marks)) and item[4] and item[1] == 1 and len(item[4]) < 200:
+            if (name in BOXES or weak(marks)) and item[4] and item[1] == 1:
                 found.add((item[0], item[4]))
             walk(item[5])
 
@@ -375,10 +380,10 @@ def _whole(node):
     while todo:
         here = todo.pop()
         if isinstance(here, str):
-            texts.append(here)
+            texts.append(" ".join(html.unescape(here).split()))
         else:
             todo += reversed(here.kids)
-    return " ".join(html.unescape(" ".join(texts)).split())[:200]
+    return digest(" ".join(t for t in texts if t))
 
 
 def places(tree, where, dropped):

@@ -390,3 +390,11 @@ def test_what_varies_beside_the_main_box_stays(spark):
     pages = [(f"h{n}.example", shell.format(i, body)) for n, shell in enumerate(shells) for i in range(4)]
     assert main_texts(spark, pages) == [w.format(i, body) for w in want for i in range(4)]
     assert main_texts(spark, [("one.example", shells[0].format(0, body))]) == [want[0].format(0, body)]
+
+
+def test_long_boxes_are_compared_whole(spark):
+    notice, intro = "This notice is the same on every page. " * 12, "All pages of this host begin with the same long words. " * 8
+    pages = [("a.example", f"<article><p>{intro}</p><p>Own words {i}.</p><div><p>{notice}</p><p>Call us.</p></div></article>") for i in range(4)]
+    assert main_texts(spark, pages) == [f"{intro.strip()}\nOwn words {i}." for i in range(4)]
+    pages = [("b.example", f"<article><p>Own {i}</p><div>{notice} {i}</div></article>") for i in range(4)]
+    assert main_texts(spark, pages) == [f"Own {i}\n{notice}{i}" for i in range(4)]
