@@ -1,7 +1,7 @@
 """Secret scan: candidates in texts, and a random forest that removes the false positives. DataFrame and ML functions only.
 
 A candidate is a run of at least ``LEAST`` letters, digits and + / _ - that has a digit in it, or the value of an assignment to a name
-such as password or token. Its features:
+such as password or token in any case, with quotes and blanks or without, of any length. Its features:
 
 * length, and the share of different characters;
 * character transitions: how often neighbouring characters go between capitals, small letters, digits and signs, per character;
@@ -36,7 +36,10 @@ TREES, DEPTH = 40, 6
 SMOOTH = 2.0
 
 RUN = r"[A-Za-z0-9+/_-]"
-VALUE = rf"(?:(?<!{RUN})(?=[A-Za-z+/_-]*[0-9]){RUN}{{{LEAST},}}|(?<=[=:])(?<=(?:pass|word|pwd|cret|oken|key)[=:]){RUN}{{6,}})"
+LONG = rf"(?<!{RUN})(?=[A-Za-z+/_-]*[0-9]){RUN}{{{LEAST},}}"
+# A value after a name, also in the next words: 'password: x', 'token = "x"', '"api_key":"x"'. Words are put together with one blank.
+ASSIGNED = rf"""(?<=(?i:pass|passwd|word|pwd|cret|oken|key)["']? ?[=:]{{1,2}}>? ?["']?){RUN}+"""
+VALUE = rf"(?:{LONG}|{ASSIGNED})"
 NAMES = r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api_?key)"
 SPACE = r"[ \t-\r]+"
 
@@ -45,10 +48,22 @@ KINDS = {"capital": "[A-Z]", "small": "[a-z]", "digit": "[0-9]", "sign": "[+/_-]
 TRANSITIONS = [f"{a}_{b}" for a in KINDS for b in KINDS]
 
 
+def _near(words, i):
+    """A word with the two before it."""
+    return F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1), F.get(words, i))
+
+
+def _likely(words, i):
+    """Whether a candidate may begin in word ``i``: all that have one, and few others."""
+    word, before = F.get(words, i), F.get(words, i - 1)
+    assigned = (word.rlike("[=:]") | before.rlike("""[=:]>?["']?$""")) & _near(words, i).rlike(ASSIGNED)
+    return (F.octet_length(word) >= LEAST) & word.rlike(LONG) | F.coalesce(assigned, F.lit(False))
+
+
 def candidates(docs):
     """One row per candidate: doc_id, source, at (number of the word in its text), nth (in the word), value, inside (the word before the value), before2, before, after."""
     def hits(words):
-        likely = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: (F.octet_length(F.get(words, i)) >= LEAST) & F.get(words, i).rlike(VALUE))
+        likely = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: _likely(words, i))
         return F.transform(likely, lambda i: F.struct(
             i.alias("at"), F.get(words, i).alias("word"), F.get(words, i - 2).alias("before2"), F.get(words, i - 1).alias("before"), F.get(words, i + 1).alias("after"),
         ))
@@ -57,8 +72,20 @@ def candidates(docs):
     split = F.array(F.split(F.col("text"), SPACE))
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "source", F.transform(split, hits)[0].alias("hits"))
     rows = rows.where(F.size("hits") > 0).select("doc_id", "source", F.explode("hits").alias("hit")).select("doc_id", "source", "hit.*")
-    rows = rows.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(VALUE), F.lit(0))).alias("nth", "value"))
-    return rows.withColumn("inside", F.expr("substring(word, 1, instr(word, value) - 1)")).drop("word")
+    # Matches over the word and the two before it, with what stands between them; those that begin in the word count.
+    rows = rows.withColumn("near", F.concat_ws(" ", "before2", "before", "word"))
+    rows = rows.withColumn("first", F.length("near") - F.length("word"))
+    pattern = F.lit(f"(?s)(.*?)({VALUE})")
+    rows = rows.withColumns({"upto": F.regexp_extract_all("near", pattern, F.lit(0)), "values": F.regexp_extract_all("near", pattern, F.lit(2))})
+
+    def placed(value, n):
+        ends = F.length(F.array_join(F.slice("upto", F.lit(1), n + 1), ""))
+        return F.struct((ends - F.length(value)).alias("start"), value.alias("value"))
+
+    own = F.filter(F.transform("values", placed), lambda v: v["start"] >= F.col("first"))
+    rows = rows.select("*", F.posexplode(own).alias("nth", "found"))
+    inside = F.col("near").substr(F.col("first") + 1, F.col("found.start") - F.col("first"))
+    return rows.select("doc_id", "source", "at", "before2", "before", "after", "nth", F.col("found.value").alias("value"), inside.alias("inside"))
 
 
 def corpus_words(docs, least=WORD_TEXTS):

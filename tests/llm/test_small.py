@@ -398,3 +398,14 @@ def test_long_boxes_are_compared_whole(spark):
     assert main_texts(spark, pages) == [f"{intro.strip()}\nOwn words {i}." for i in range(4)]
     pages = [("b.example", f"<article><p>Own {i}</p><div>{notice} {i}</div></article>") for i in range(4)]
     assert main_texts(spark, pages) == [f"Own {i}\n{notice}{i}" for i in range(4)]
+
+
+def test_values_of_assignments_are_candidates(spark):
+    texts = {
+        "password: correcthorsebattery": "correcthorsebattery", "DB_PASSWORD=CorrectHorseBattery": "CorrectHorseBattery", '"api_key":"abcdefghijklmnopqrst"': "abcdefghijklmnopqrst",
+        'password="s3cret7"': "s3cret7", "key=abc123": "abc123", "pwd=s3cret7": "s3cret7", "pass=abc123": "abc123", "Token = 'abc'": "abc", "secret :x1": "x1", "a passwd => 'k' b": "k", "pass=a": "a",
+    }
+    found = {r.doc_id: r for r in secrets.candidates(documents(spark, list(texts))).collect()}
+    assert [found[i].value for i in range(len(texts))] == list(texts.values())
+    assert found[10].inside == "pass=" and found[0].before == "password:" and found[2].inside == '"api_key":"'
+    assert secrets.candidates(documents(spark, ["the key to it: all 12:30", "words: none"])).count() == 0
