@@ -5,7 +5,7 @@ such as password or token in any case, with quotes and blanks or without, of any
 
 * length, and the share of different characters;
 * character transitions: how often neighbouring characters go between capitals, small letters, digits and signs, per character;
-* dictionary coverage: the share of its characters in runs of letters that are words of the corpus (``WORD_TEXTS`` times or more);
+* dictionary coverage: the share of its characters in runs of letters that are words of the corpus (in ``WORD_SHARE`` of its distinct texts);
 * path: how often findings of the same source were secrets among the labelled ones;
 * neighbouring words: the same for the two words before, the one after, and what stands before the value in its own word.
 
@@ -14,13 +14,15 @@ non-words are secrets; numbers, dates, addresses and dictionary words are not) a
 features do not see them, so findings without a known format get a decision too.
 
 Scale: texts are split and filtered in their rows, without a shuffle; only candidates, a few per document, go on. Corpus words are
-counted in each task before the shuffle. Training takes at most ``MAX_FINDINGS`` labelled findings, those with the least hash.
+counted once per distinct text, in each task before the shuffle; copies of a text are brought together by digest first. Training takes at most ``MAX_FINDINGS`` labelled findings, those with the least hash.
 
 Edge cases: a NULL text has no findings; a NULL source is a path of its own; the same value twice in a text is two findings; repeated rows each
 have theirs; with labelled findings of one kind or none, the share of secrets among them, or 0.5, is every score; an empty
 table gives an empty table; other columns than doc_id, source and text are left out.
 """
 
+from math import ceil
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 LEAST = 12
-WORD_TEXTS = 20
+WORD_SHARE = 0.001
 MAX_FINDINGS = 50_000
 TREES, DEPTH = 40, 6
 SMOOTH = 2.0
@@ -88,13 +90,19 @@ def candidates(docs):
     return rows.select("doc_id", "source", "at", "before2", "before", "after", "nth", F.col("found.value").alias("value"), inside.alias("inside"))
 
 
-def corpus_words(docs, least=WORD_TEXTS):
-    """Words of three letters or more that occur ``least`` times or more, lower-cased."""
-    words = docs.select(F.explode(F.split(F.col("text"), SPACE)).alias("word"))
-    words = words.where(F.length("word") >= 3).groupBy("word").agg(F.count("*").alias("n"))
-    plain = F.lower(F.regexp_replace("word", r"^[^\p{L}]+|[^\p{L}]+$", ""))
-    words = words.select(plain.alias("word"), "n").where(F.col("word").rlike(r"^\p{L}{3,}$"))
-    return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("word")
+def corpus_words(docs, share=WORD_SHARE):
+    """Words of three letters or more that are in ``share`` of the distinct texts and in two at least, lower-cased; values of candidates do not count."""
+    texts = docs.where(F.col("text").isNotNull()).groupBy(F.md5("text").alias("code")).agg(F.first("text").alias("text"))
+    texts = stored(texts.select("text"), "texts")
+    least = max(2, ceil(share * texts.count()))
+
+    def plain(words):
+        others = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: (F.length(F.get(words, i)) >= 3) & ~_likely(words, i))
+        return F.array_distinct(F.transform(others, lambda i: F.lower(F.regexp_replace(F.get(words, i), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))))
+
+    words = texts.select(F.explode(F.transform(F.array(F.split(F.col("text"), SPACE)), plain)[0]).alias("word"))
+    words = words.groupBy("word").agg(F.count("*").alias("n"))
+    return words.where((F.col("n") >= least) & F.col("word").rlike(r"^\p{L}{3,}$")).select("word")
 
 
 def describe(found, words):

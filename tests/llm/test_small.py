@@ -409,3 +409,11 @@ def test_values_of_assignments_are_candidates(spark):
     assert [found[i].value for i in range(len(texts))] == list(texts.values())
     assert found[10].inside == "pass=" and found[0].before == "password:" and found[2].inside == '"api_key":"'
     assert secrets.candidates(documents(spark, ["the key to it: all 12:30", "words: none"])).count() == 0
+
+
+def test_copies_do_not_make_a_secret_a_word(spark):
+    texts = ["some text with password: hunterfoo12345 in it"] * 60 + [f"common words here and text{'abc'[i % 3]} number {i}" for i in range(30)]
+    words = {r.word for r in secrets.corpus_words(documents(spark, texts)).collect()}
+    assert "hunterfoo" not in words and {"common", "words", "here"} <= words and "some" not in words
+    found = secrets.scan(documents(spark, texts))
+    assert {r.label for r in found.where("value = 'hunterfoo12345'").collect()} == {1.0}
