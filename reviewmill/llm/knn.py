@@ -91,18 +91,22 @@ def _place(pivots, extra, largest, groups, width):
 
 
 def best(queries, query_ids, data, data_ids, k):
-    """(query row, data row, score) of each query's k best, ties to the smaller id; ``data_ids`` must ascend."""
+    """(query row, data row, score) of each query's k best ids, ties to the smaller id; ``data_ids`` must ascend, and rows of one id count as
+    the best of them."""
     rows, found, scores = [], [], []
+    starts = np.flatnonzero(np.append(True, data_ids[1:] != data_ids[:-1]))
     for at in range(0, len(queries), 256):
         score = queries[at : at + 256] @ data.T
-        score[query_ids[at : at + 256, None] == data_ids[None, :]] = -np.inf
+        if len(starts) < len(data_ids):
+            score = np.maximum.reduceat(score, starts, axis=1)
+        score[query_ids[at : at + 256, None] == data_ids[starts][None, :]] = -np.inf
         least = np.partition(score, max(0, score.shape[1] - k), axis=1)[:, max(0, score.shape[1] - k)]
         for i, line in enumerate(score):
             over = np.flatnonzero(line > least[i])
             same = np.flatnonzero(line == least[i])[: k - len(over)] if np.isfinite(least[i]) else over[:0]
             hit = np.concatenate([over, same])
             rows.append(np.full(len(hit), at + i))
-            found.append(hit)
+            found.append(starts[hit])
             scores.append(line[hit])
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, found, scores))
 
@@ -148,7 +152,9 @@ def top_k(rows, asks, k, key="vec_id", vector="embedding"):
     """query_id, rank, vec_id and score of the k best for each row where ``asks`` holds."""
     spark = rows.sparkSession
     usable = rows.where(F.col(key).isNotNull() & _usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), F.coalesce(asks, F.lit(False)).alias("asks"), F.col(vector).cast("array<double>").alias("v"))
-    packed = stored(usable.mapInArrow(_pack, "id long, asks boolean, vector binary, square double, width int"), "vectors")
+    packed = usable.mapInArrow(_pack, "id long, asks boolean, vector binary, square double, width int")
+    # Repeated rows are one; different vectors of an id stay and are told apart in ``best``.
+    packed = stored(packed.groupBy("id", "vector", "square", "width").agg(F.max("asks").alias("asks")).select("id", "asks", "vector", "square", "width"), "vectors")
     whole = packed.agg(F.count("*").alias("n"), F.count_if("asks").alias("asked"), F.max("square").alias("largest"), F.max("width").alias("width")).first()
     if not whole.n or not whole.asked:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")

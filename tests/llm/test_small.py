@@ -400,6 +400,15 @@ def test_long_boxes_are_compared_whole(spark):
     assert main_texts(spark, pages) == [f"Own {i}\n{notice}{i}" for i in range(4)]
 
 
+def test_top_k_of_an_id_in_many_rows(spark):
+    """The best candidate stands in more rows than k, as copies and with different vectors."""
+    for best in ([[9.0, 9.0]] * 12, [[9.0, 9.0 - i / 100] for i in range(12)]):
+        data = [(i, [1.0 + i / 50, 1.0]) for i in range(1, 40)] + [(1000, v) for v in best]
+        frame = spark.createDataFrame(data * 2, "vec_id long, embedding array<double>")
+        found = [(r.vec_id, r["rank"]) for r in knn.top_k(frame, F.col("vec_id") == 5, 5).orderBy("rank").collect()]
+        assert found == [(1000, 1), (39, 2), (38, 3), (37, 4), (36, 5)]
+
+
 def test_values_of_assignments_are_candidates(spark):
     texts = {
         "password: correcthorsebattery": "correcthorsebattery", "DB_PASSWORD=CorrectHorseBattery": "CorrectHorseBattery", '"api_key":"abcdefghijklmnopqrst"': "abcdefghijklmnopqrst",
