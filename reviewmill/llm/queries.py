@@ -1,8 +1,10 @@
 """The registered queries: each applies one operator to its whole table."""
 
+import string
+
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, knn, language, mixing, quality, secrets, sharding, simhash, tokens
+from . import decontaminate, html, knn, language, merkle, mixing, negatives, packing, quality, secrets, sharding, simhash, tokens
 from .common import stored
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -101,6 +103,60 @@ def op2_fm_index_decontamination(spark, folder):
     )
 
 
+def _crc32_sql(text):
+    """The unsigned CRC-32 of a short text, by the table that its polynomial makes."""
+    def entry(byte):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        return byte
+
+    table_ = ", ".join(f"{entry(b)}::BIGINT" for b in range(256))
+    step = f"xor(state >> 8, ([{table_}])[xor(state & 255, byte) + 1])"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda state, byte: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _merkle_sql(levels=4):
+    """Both trees level by level: up to 16 ** levels documents a source and sources."""
+    def field(value):
+        return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(field(v) for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+
+    lower = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    altered = f"coalesce({_crc32_sql('CAST(doc_id AS VARCHAR)')} % 5 = 0, false)"
+    steps = [f"""
+leaves AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf('text')} AS leaf, {leaf(f"CASE WHEN {altered} THEN {lower} ELSE text END")} AS offered FROM documents)
+, numbered AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves)
+, a0 AS (SELECT tree, place, leaf AS node FROM numbered)
+, p0 AS (SELECT *, offered AS node, '' AS proof, place AS spot FROM numbered)"""]
+
+    def level(nodes, paths, key, n):
+        """Runs of the nodes; those above; and the paths, extended where their tree has more than one node."""
+        inner = "list_concat(list_slice(run, 1, spot % 16), list_slice(run, spot % 16 + 2, len(run)))"
+        steps.append(f"""
+, {nodes}r{n} AS (SELECT {key}, place // 16 AS place, list(node ORDER BY place) AS run, sum(count(*)) OVER (PARTITION BY {key}) AS n
+  FROM {nodes}{n} GROUP BY {key}, place // 16)
+, {nodes}{n + 1} AS (SELECT {key}, place, CASE WHEN n > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS node FROM {nodes}r{n})
+, {paths}{n + 1} AS (
+  SELECT p.* REPLACE (CASE WHEN r.n > 1 THEN sha256(array_to_string(list_slice(run, 1, spot % 16), '') || p.node || array_to_string(list_slice(run, spot % 16 + 2, len(run)), '')) ELSE p.node END AS node,
+         CASE WHEN r.n > 1 THEN proof || array_to_string({inner}, '') ELSE proof END AS proof, spot // 16 AS spot)
+  FROM {paths}{n} p JOIN {nodes}r{n} r ON r.{key} = p.{key} AND r.place = p.spot // 16)""")
+
+    for n in range(levels):
+        level("a", "p", "tree", n)
+    steps.append(f"""
+, tops AS (SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS place, 0 AS top FROM a{levels})
+, b0 AS (SELECT top, place, node FROM tops)
+, q0 AS (SELECT p.* REPLACE (t.place AS spot), t.node AS subroot, 0 AS top FROM p{levels} p JOIN tops t ON t.tree = p.tree)""")
+    for n in range(levels):
+        level("b", "q", "top", n)
+    return f"""WITH {''.join(steps)}
+SELECT doc_id, leaf, subroot, (SELECT node FROM b{levels}) AS root, sha256(proof) AS proof_sha256, q.node AS folded_root, q.node = (SELECT node FROM b{levels}) AS verified
+FROM q{levels} q"""
+
+
 def _held_out(parts, part):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part
 
@@ -142,3 +198,34 @@ def op9_forest_secret_scan(spark, folder):
     """All candidates for secrets, with the forest's decision; values as digests."""
     found = secrets.scan(table(spark, folder, "documents"))
     return found.select("doc_id", "at", "nth", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "label", "score", "secret")
+
+
+@query()
+def op11_secondary_sort_negatives(spark, folder):
+    """Up to three hard negatives for each of the five best positives of every fiftieth vector."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")), F.col("id") % 50 == 0)
+
+
+@query()
+def op12_monotone_queue_packing(spark, folder):
+    """The pieces of all documents in sequences of at most 2,048 ids; digests from the packed ids."""
+    packed = packing.pack(table(spark, folder, "documents"), tokenizer_file())
+    return packing.pieces(packed).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to")
+
+
+@query(_merkle_sql())
+def op13_incremental_merkle(spark, folder):
+    """Leaf, roots and witness digest of every document, and whether its possibly altered text still leads to the root."""
+    docs = table(spark, folder, "documents")
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(altered, F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.col("text"))
+    offered = merkle.leaf_digest([text if f == "text" else F.col(f) for f in merkle.FIELDS])
+    found = merkle.manifest(docs, keep=["doc_id", F.unhex(offered).alias("offered")])
+    found = found.select(
+        "row.doc_id", *[merkle.hexed(c).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(merkle.hexed("siblings").cast("binary"), 256).alias("proof_sha256"),
+        merkle.folded(merkle.hexed("row.offered"), F.col("places"), F.col("widths"), F.col("siblings")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
