@@ -1,33 +1,38 @@
 """Ids of whole batches of texts by a vocabulary that tokenizes every word by itself.
 
-Arrow splits texts at blanks and numbers the pieces. Only the different pieces of a batch are looked up one by one; those not met lately
-are divided into words, and the words not met lately are tokenized, by the tokenizers library. The ids of the texts are then
-gathered with numpy.
+Arrow splits texts at blanks and numbers the pieces; pieces of letters and at most one mark are cut by Arrow too, others by the vocabulary's own
+rule. Only the different words of a batch are looked up one by one, and only those not met lately are tokenized, by the
+tokenizers library. The ids of the texts are then gathered with numpy.
 
 This holds for a file with the normalizer and the division below: no word reaches over a blank. For any other file, ``Words`` gives whole
 texts to the library.
 """
 
+import itertools
 import json
 import os
 import re
-import struct
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 400_000
 SLICE_BYTES = 1 << 23
 
 # The vocabulary's own division of lower-cased text into words (fixed value); each word has its own tokens.
 DIVISION = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The same, and the end of a piece.
-WORDS = regex.compile(rf"\n|{DIVISION}")
+WORDS = regex.compile(DIVISION)
 # Pieces with other characters than these, or with what may be a special token, go through the library as a whole.
 UNUSUAL = re.compile("[^!-~\xa0-ӿ]|<[|]")
+# Marks that may end a plain piece, and letters that its lower case or normal form is not plain for.
+MARKS = ".,;:!?"
+RARE_LETTERS = r"[^A-Za-z\x{c0}-\x{12f}\x{131}-\x{373}\x{375}-\x{4ff}]"
+# Before a piece that is to be divided; no word has this character.
+DIVIDE = "\n"
 
 
 def by_words(path):
@@ -50,73 +55,67 @@ def byte_characters():
     return {**{b: chr(b) for b in seen}, **{b: chr(256 + n) for n, b in enumerate(hidden)}}
 
 
-class Memory:
-    """A bounded map that forgets what was not asked for since it was last full."""
-
-    def __init__(self, limit):
-        self.limit, self.now, self.before = limit, {}, {}
-
-    def missing(self, keys):
-        """Keep ``keys``, a set, and return those without a value."""
-        if len(self.now) + len(keys) > self.limit:
-            self.now, self.before = {}, self.now
-        new = keys.difference(self.now)
-        for key in new & self.before.keys():
-            self.now[key] = self.before[key]
-        return list(new.difference(self.before))
-
-
 class Words:
-    """Ids of texts by way of bounded memories of pieces and words."""
+    """Ids of texts by way of a bounded memory of words: word -> number, and the ids of all words one after another."""
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.by_words = Tokenizer.from_file(path), by_words(path)
-        self.pieces, self.words = Memory(KNOWN_WORDS), Memory(KNOWN_WORDS)
-        self.characters = byte_characters()
+        self.tokenizer, self.by_words, self.characters = Tokenizer.from_file(path), by_words(path), byte_characters()
+        self._forget()
+
+    def _forget(self):
+        self.known, self.pool, self.edges = {"": 0}, array("I"), array("q", [0, 0])
 
     def whole(self, text):
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn_words(self, words):
-        one = self.tokenizer.model.tokenize
-        for word in words:
-            ids = [t.id for t in one(word.encode().decode("latin-1").translate(self.characters))]
-            self.words.now[word] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def _learn(self, pieces):
-        usual = [p for p in pieces if not UNUSUAL.search(p)]
-        if len(usual) < len(pieces):
-            self.pieces.now.update({p: self.whole(p) for p in set(pieces).difference(usual)})
-        found = WORDS.findall(unicodedata.normalize("NFC", "".join([f"{p}\n" for p in usual])).replace("Σ", "σ").lower())
-        self._learn_words(self.words.missing(set(found) - {"\n"}))
-        self.words.now["\n"] = b""  # ends a piece; words have ids
-        ids = list(map(self.words.now.__getitem__, found))
-        data, sizes = b"".join(ids), np.fromiter(map(len, ids), np.int64, len(ids))
-        ends, begin = np.cumsum(sizes)[sizes == 0].tolist(), 0
-        for piece, end in zip(usual, ends, strict=True):
-            self.pieces.now[piece] = data[begin:end]
-            begin = end
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _word(self, word):
+        seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.characters)
+        return [t.id for t in self.tokenizer.model.tokenize(seen)]
+
+    def _piece(self, piece):
+        if UNUSUAL.search(piece):
+            return self.whole(piece)
+        return [i for word in WORDS.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()) for i in self._word(word)]
+
+    def _numbers(self, names):
+        """The number of each name, a word in lower case or ``DIVIDE`` and a piece."""
+        if len(self.known) > KNOWN_WORDS:
+            self._forget()
+        known = self.known
+        for name in names:
+            if name not in known:
+                self.pool.extend(self._piece(name[1:]) if name[0] == DIVIDE else self._word(name))
+                self.edges.append(len(self.pool))
+                known[name] = len(known)
+        return np.fromiter(map(known.__getitem__, names), np.int64, len(names))
 
     def ids(self, texts):
         """(all ids, ids per text) of an Arrow array of texts; NULL has none."""
         if not self.by_words:
-            found = [self.whole(t) if t else b"" for t in texts.to_pylist()]
-            return np.frombuffer(b"".join(found), "<u4"), np.array([len(f) // 4 for f in found], np.int64)
+            found = [self.whole(t) if t else [] for t in texts.to_pylist()]
+            return np.fromiter(itertools.chain(*found), "<u4"), np.array([len(f) for f in found], np.int64)
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         numbered = split.flatten().dictionary_encode()
-        pieces = numbered.dictionary.to_pylist()
-        self._learn(self.pieces.missing(set(pieces)))
-        known = list(map(self.pieces.now.__getitem__, pieces))
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        out, ends = gather(np.frombuffer(b"".join(known), "<u4"), np.append(0, np.cumsum(sizes)), _numbers(numbered.indices))
-        return out, np.diff(ends[np.append(0, np.cumsum(_numbers(split.value_lengths())))])
-
-
-def _numbers(array):
-    return array.to_numpy(zero_copy_only=False)
+        pieces = numbered.dictionary
+        # Most pieces are letters and at most one mark behind them; the others are divided one by one.
+        letters = pc.utf8_rtrim(pieces, MARKS)
+        marks = pc.subtract(pc.binary_length(pieces), pc.binary_length(letters))
+        plain = pc.and_(pc.less_equal(marks, 1), pc.and_not(pc.utf8_is_alpha(letters), pc.match_substring_regex(letters, RARE_LETTERS)))
+        first = pc.if_else(plain, pc.utf8_lower(letters), pc.binary_join_element_wise(DIVIDE, pieces, ""))
+        second = pc.if_else(pc.and_(plain, pc.equal(marks, 1)), pc.utf8_slice_codeunits(pieces, -1), "")
+        words = pa.concat_arrays([first, second]).dictionary_encode()
+        numbers = self._numbers(words.dictionary.to_pylist())[_numpy(words.indices)]
+        # Ids of the words, then of the pieces, then of the texts.
+        pool, ends = gather(np.frombuffer(self.pool, "<u4"), np.frombuffer(self.edges, np.int64), numbers.reshape(2, -1).T.ravel())
+        out, ends = gather(pool, ends[::2], _numpy(numbered.indices))
+        return out, np.diff(ends[np.append(0, np.cumsum(_numpy(split.value_lengths())))])
+
+
+def _numpy(column):
+    return column.to_numpy(zero_copy_only=False)
 
 
 def gather(pool, edges, order):
