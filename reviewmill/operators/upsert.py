@@ -13,7 +13,9 @@ split. The merge is therefore put together from three joins that can:
 
 from pyspark.sql import functions as F
 
-from ..sources.catalog import append_table, overwrite_table, table_exists
+from ..sources.catalog import (
+    BUCKET, append_table, bucket_of_key, create_keyed_table, key_of, overwrite_table, read_rows, replace_buckets, table_exists,
+)
 from .reuse import staged
 
 
@@ -51,10 +53,11 @@ def _column_lists(target, updates, key, update_cols, insert_cols):
 def _kept_rows(target, updates, key, update_cols):
     """All target rows, the matched ones with their new values."""
     changed = [c for c in update_cols if c != key]
-    new = updates.select(key, *changed, F.lit(True).alias("_matched")).alias("new")
-    joined = target.alias("old").join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left")
+    # One struct beside the target's columns, so that none of their names can clash with it.
+    new = updates.select(F.struct(key, *changed).alias("row")).alias("new")
+    joined = target.alias("old").join(new, F.col(f"old.{key}") == F.col(f"new.row.{key}"), "left")
     return joined.select([
-        F.when(F.col("_matched"), F.col(f"new.{f.name}").cast(f.dataType)).otherwise(F.col(f"old.{f.name}")).alias(f.name)
+        F.when(F.col("new.row").isNotNull(), F.col(f"new.row.{f.name}").cast(f.dataType)).otherwise(F.col(f"old.{f.name}")).alias(f.name)
         if f.name in changed else F.col(f"old.{f.name}")
         for f in target.schema
     ])
@@ -79,18 +82,29 @@ def upsert(target, updates, key, update_cols=None, insert_cols=None):
     return _kept_rows(target, updates, key, update_cols).union(_inserted_rows(target, fresh, insert_cols))
 
 
-def upsert_table(spark, name, updates, key, update_cols=None, insert_cols=None):
+def upsert_table(spark, name, updates, key, update_cols=None, insert_cols=None, buckets=None):
     """Create the table from ``updates`` if there is none of that name, else merge.
 
     The batch is computed once and staged, and so are the keys it shares with the table: one join of keys, with one pass over the table's key
     column, serves the check for ambiguous updates, the choice between append and rewrite, and the rows to insert. A batch that
     matches nothing is appended; with matches, which may be in any file, the table is written anew.
+
+    With ``buckets``, a new table is divided by a hash of the key into so many parts (``sources.catalog``). Every later batch, whether it says so or not,
+    then reads only the parts that its keys are in and rewrites only those in which it has matches. That is the layout for tables that are
+    large beside their batches; some hundred MB a bucket is a good size.
     """
     if not table_exists(spark, name):
-        overwrite_table(updates, name)
+        if buckets:
+            create_keyed_table(updates, name, key, buckets)
+        else:
+            overwrite_table(updates, name)
         return
-    target = spark.read.table(name)
+    target = read_rows(spark, name)
     update_cols, insert_cols = _column_lists(target, updates, key, update_cols, insert_cols)
+    keyed = key_of(spark, name)
+    if keyed and keyed[0] == key:
+        _upsert_buckets(spark, name, updates, *keyed, update_cols, insert_cols)
+        return
     with staged(updates, "batch") as batch, staged(_matched(target, batch, key).distinct(), "matched") as matched:
         check_unambiguous(matched, batch, key)
         inserted = _inserted_rows(target, batch.join(matched, key, "left_anti"), insert_cols)
@@ -98,3 +112,38 @@ def upsert_table(spark, name, updates, key, update_cols=None, insert_cols=None):
             append_table(inserted, name)
         else:
             overwrite_table(_kept_rows(target, batch, key, update_cols).union(inserted), name)
+
+
+def buckets_with(spark, name, buckets):
+    """The rows of a keyed table in the given buckets; no file of another one is listed or read."""
+    return spark.read.table(name).where(F.col(BUCKET).isin(buckets)).drop(BUCKET)
+
+
+def _upsert_buckets(spark, name, updates, key, n, update_cols, insert_cols):
+    """The driver sees the numbers of the buckets that the batch touches, at most ``n``.
+
+    Buckets with matches are replaced in one step, their new rows included; new rows of other buckets are appended before. Should
+    the job end in between, the same batch can be merged again: what was inserted is then matched, but for rows with a NULL key, which come last.
+    """
+    target = read_rows(spark, name)
+    kind = target.schema[key].dataType  # the hash of a key depends on its type
+    updates = updates.withColumn(key, F.col(key).cast(kind))
+
+    def numbers(keys):
+        return [r[0] for r in keys.select(bucket_of_key(F.col(key), n).alias("bucket")).distinct().collect()]
+
+    with staged(updates, "batch") as batch:
+        touched = [b for b in numbers(batch) if b >= 0]
+        with staged(_matched(buckets_with(spark, name, touched), batch, key).distinct(), "matched") as matched:
+            check_unambiguous(matched, batch, key)
+            hit = numbers(matched)
+            inside = F.coalesce(bucket_of_key(F.col(key), n).isin(hit), F.lit(False)) & F.lit(key in insert_cols)
+            fresh, keyless = batch.join(matched, key, "left_anti"), F.col(key).isNull()
+            for part in (~inside & ~keyless, None, keyless):
+                if part is not None:
+                    rows = fresh.where(part)
+                    if not rows.isEmpty():
+                        append_table(_inserted_rows(target, rows, insert_cols), name)
+                elif hit:
+                    kept = _kept_rows(buckets_with(spark, name, hit), batch, key, update_cols)
+                    replace_buckets(kept.union(_inserted_rows(target, fresh.where(inside), insert_cols)), name)

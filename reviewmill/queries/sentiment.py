@@ -107,7 +107,7 @@ def scoring_job(spark, folder):
     source, scored = new_name("reviews"), new_name("scored")
     src.overwrite_table(text_reviews(spark, folder), source)
     op.score_job(spark, source, scored, _model(spark.read.table(source)))
-    taken(spark, source)
+    src.drop_table(spark, source)
     return _shown(taken(spark, scored))
 
 

@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..sources import read_table
+from ..sources import key_of, location, read_rows, read_table
 
 
 def table(spark, folder, name):
@@ -27,7 +27,10 @@ def new_name(prefix):
 
 def taken(spark, name):
     """The rows of a catalog table, which is then dropped. Its files stay, so the result can still be read."""
-    rows = spark.read.table(name)
+    rows = read_rows(spark, name)
+    if key_of(spark, name):
+        # The parts of a keyed table are listed in the catalog, so from here on they are read from its folder.
+        rows = spark.read.schema(rows.schema).parquet(location(spark, name)).select(rows.columns)
     rows.schema
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     return rows

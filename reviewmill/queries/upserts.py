@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from .. import sources as src
 from ..plans.category_sentiment import SCORED_COLUMNS
 from .registry import query
 from .standins import new_name, table, taken
@@ -88,6 +89,39 @@ def upsert_by_path(spark, folder):
     return _shown(taken(spark, name))
 
 
+def _parted(spark, folder):
+    """Reviews of the labelled documents in a table of 64 buckets, then a batch of pages: those of the touched buckets are merged, no other is read."""
+    name = new_name("upsert")
+    op.upsert_table(spark, name, scored_target(spark, folder), "review_id", buckets=64)
+    op.upsert_table(spark, name, scored_updates(spark, folder).where("review_id % 40 = 0"), "review_id", SCORED_COLUMNS, SCORED_COLUMNS)
+    return name
+
+
+@query(merge_sql(SCORED_COLUMNS).replace("FROM pages", "FROM pages WHERE page_id % 40 = 0"))
+def upsert_by_bucket(spark, folder):
+    return _shown(taken(spark, _parted(spark, folder)))
+
+
+@query(f"""
+WITH {UPSERT_SQL.replace("FROM pages", "FROM pages WHERE page_id % 40 = 0")}
+SELECT (SELECT count(*) FROM old) + (SELECT count(*) FROM new WHERE review_id NOT IN (SELECT review_id FROM old)) AS rows,
+       (SELECT count(*) FROM new WHERE review_id IN (SELECT review_id FROM old)) AS updated, true AS others_untouched""")
+def upsert_touches_its_buckets(spark, folder):
+    """Rows after the merge, rows that it changed, and whether every bucket without a key of the batch still has the file that it was created with."""
+    name = new_name("upsert")
+    op.upsert_table(spark, name, scored_target(spark, folder), "review_id", buckets=64)
+    batch = scored_updates(spark, folder).where("review_id % 40 = 0")
+    place = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    before = {tuple(r) for r in spark.read.table(name).select("key_bucket", *place).distinct().collect()}  # a line per file
+    op.upsert_table(spark, name, batch, "review_id", SCORED_COLUMNS, SCORED_COLUMNS)
+    after = {tuple(r) for r in spark.read.table(name).select("key_bucket", *place).distinct().collect()}
+    touched = {r[0] for r in batch.select(src.bucket_of_key(F.col("review_id"), 64)).distinct().collect()}
+    same = {r for r in before if r[0] not in touched} == {r for r in after if r[0] not in touched}
+    rows = taken(spark, name)
+    return rows.agg(F.count("*").alias("rows"), F.count_if(F.col("date") == "2021-01-01").alias("updated"), F.lit(same).alias("others_untouched")).withColumn(
+        "updated", F.col("updated") - (F.col("rows") - scored_target(spark, folder).count()))
+
+
 @query("""
 SELECT coalesce(u.c_custkey, e.user_id) AS user_id,
        CASE WHEN u.c_custkey IS NOT NULL THEN u.c_mktsegment ELSE e.event_type END AS event_type, e.n AS n

@@ -35,7 +35,14 @@ def scratch_path(spark, name):
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def table_path(spark, name):
+    """A new folder for a catalog table, in the warehouse beside the other tables of its database."""
+    *database, table = name.replace("`", "").split(".")
+    root = spark.catalog.getDatabase(database[-1] if database else spark.catalog.currentDatabase()).locationUri
+    return f"{root.rstrip('/')}/{table}-{uuid.uuid4().hex}"
+
+
 def drop_scratch(spark, path):
-    """Delete a folder that came from ``scratch_path``."""
+    """Delete a folder that came from ``scratch_path`` or ``table_path``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
