@@ -2,7 +2,7 @@ from .relational import (
     attach_business, broken_rows, category_reviews, in_category, mispredicted, preview,
     reviews_in_category, set_difference, stars_to_double, strip_links,
 )
-from .quality import distribution, profile, quality_report
+from .quality import distribution, exact_quantiles, profile, quality_report
 from .reuse import reused, staged
 from .ingest import (
     business_key_values, json_values, records_to_lines, reviews_to_lines, split_bad_records, to_delimited,
@@ -15,5 +15,5 @@ from .sentiment import (
 )
 from .classify import (
     assemble, class_metrics, class_weights, confusion, doc_freq, embedding_features, evaluate_f1,
-    f1_weighted, fit_embeddings, fit_stars, index_labels, term_counts, tfidf_stages,
+    f1_weighted, fit_embeddings, fit_stars, index_labels, loss_gradient, term_counts, tfidf_stages, tfidf_weights,
 )

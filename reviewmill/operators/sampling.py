@@ -1,38 +1,68 @@
 """Samples, splits and class balancing.
 
-With a ``key`` that names the row the choice is made by hash bucket: reproducible, narrow, and stable
-when a task is run again. Without one, Spark's own partition-dependent draws are used.
+The choice is made by hash bucket of a ``key`` that names the row: reproducible, narrow, and stable when a task is run again. Without a
+key the row is named by all of its fields and, among equal rows, its place: just as reproducible, at the price of a shuffle of the rows.
 """
 
 from pyspark.sql import functions as F
 
-from ..functions.buckets import in_share
+from ..functions.buckets import in_share, row_text
 
 MAX_CLASSES = 10_000
+RUN = 1 << 16
+
+
+def numbered_rows(df, name):
+    """The rows with a key, ``name``: a text that names each row, made of its fields and its place among equal rows.
+
+    Equal rows are counted in the task before they are shuffled and then dealt out again by their places, in runs of ``RUN`` that go to
+    different tasks, so a row that is there very often is no hot key. Columns of a map type have no order and cannot be drawn by.
+    """
+    row = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.select(F.struct(*row).alias("row")).groupBy("row").agg(F.count("*").alias("count"))
+    runs = counted.select("row", "count", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(RUN).cast("long"))).alias("start"))
+    # What is there more than RUN times is spread over the tasks; all else stays where it is.
+    often = F.col("count") > RUN
+    runs = runs.where(~often).union(runs.where(often).hint("rebalance", "start"))
+    places = runs.select("row", F.explode(F.sequence("start", F.least(F.col("start") + RUN, F.col("count")) - 1)).alias("place"))
+    fields = [F.col("row").getField(c) for c in df.columns]
+    key = F.concat(F.md5(row_text(fields).cast("binary")), F.lit("/"), F.col("place").cast("string"))
+    return places.select("row.*", key.alias(name))
+
+
+def _drawn(df, key):
+    """(rows, the name of their key, what to do with chosen rows)."""
+    if key is not None:
+        return df, key, lambda rows: rows
+    name = _free_name(df, "_drawn_by")
+    return numbered_rows(df, name), name, lambda rows: rows.drop(name)
+
+
+def _free_name(df, name):
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def sample_about(df, n_rows, seed, key=None):
     """About ``n_rows`` rows: the fraction is ``n_rows`` over the row count."""
-    if key is None:
-        total = df.count()
-        return df.sample(fraction=min(1.0, n_rows / total) if total else 0.0, seed=seed)
     share = F.try_divide(F.lit(float(n_rows)), df.agg(F.count("*")).scalar())
-    return df.where(in_share(key, seed, share))
+    rows, key, shown = _drawn(df, key)
+    return shown(rows.where(in_share(key, seed, share)))
 
 
 def split(df, weights, seed, key=None):
     """Disjoint parts that cover ``df``, sized by ``weights``."""
-    if key is None:
-        return df.randomSplit(weights, seed)
+    rows, key, shown = _drawn(df, key)
     total, low, parts = float(sum(weights)), None, []
     for i, weight in enumerate(weights):
         high = 1.0 if i == len(weights) - 1 else (low or 0.0) + weight / total
-        parts.append(df.where(in_share(key, seed, F.lit(high), None if low is None else F.lit(low))))
+        parts.append(shown(rows.where(in_share(key, seed, F.lit(high), None if low is None else F.lit(low)))))
         low = high
     return parts
 
 
-def stratified_split(df, col, fraction, seed, key):
+def stratified_split(df, col, fraction, seed, key=None):
     """(train, test): ``fraction`` of every class of ``col`` against all other rows.
 
     ``fraction`` is one number or a number per class (0 for classes not named). The test side is the
@@ -44,8 +74,9 @@ def stratified_split(df, col, fraction, seed, key):
             share = F.when(F.col(col).eqNullSafe(F.lit(value)), F.lit(float(part))).otherwise(share)
     else:
         share = F.lit(float(fraction))
+    rows, key, shown = _drawn(df, key)
     chosen = in_share(key, seed, share)
-    return df.where(chosen), df.where(~chosen)
+    return shown(rows.where(chosen)), shown(rows.where(~chosen))
 
 
 def class_ratios(df, col):

@@ -49,9 +49,28 @@ def ml_stop_words(spark, folder):
 
 @query(f"SELECT doc_id, term, count(*) AS count FROM (SELECT doc_id, unnest({ML_WORDS_SQL}) AS term FROM documents) GROUP BY ALL")
 def term_counts(spark, folder):
+    """Kept in a table bucketed by document, so that counting moves no row."""
+    name = new_name("documents")
+    src.create_bucketed_table(documents(spark, folder).select("doc_id", "text"), name, "doc_id", 16)
+    return op.term_counts(taken(spark, name), "doc_id")
+
+
+@query(f"SELECT doc_id, term, count(*) AS count FROM (SELECT doc_id, unnest({ML_WORDS_SQL}) AS term FROM documents) GROUP BY ALL")
+def term_counts_of_any_table(spark, folder):
+    """The same on a table of any layout: counted in the task, then brought together."""
     return op.term_counts(documents(spark, folder), "doc_id")
 
 
+@query(f"""
+WITH counts AS (SELECT doc_id, term, count(*) AS count FROM (SELECT doc_id, unnest({ML_WORDS_SQL}) AS term FROM documents) GROUP BY ALL)
+, freq AS (SELECT term, count(*) AS doc_freq FROM (SELECT unnest(list_distinct({ML_WORDS_SQL})) AS term FROM documents) GROUP BY term)
+SELECT doc_id, c.term, count, CASE WHEN doc_freq >= 5
+       THEN round(count * ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (doc_freq + 1.0::DOUBLE)), 6) ELSE 0 END AS weight
+FROM counts c JOIN freq f ON f.term = c.term""")
+def tfidf_values(spark, folder):
+    return op.tfidf_weights(documents(spark, folder), "doc_id").withColumn("weight", F.round("weight", 6))
+
+
 @query(f"""
 SELECT term, doc_freq, CASE WHEN doc_freq >= 5 THEN round(ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (doc_freq + 1.0::DOUBLE)), 6)
        ELSE 0 END AS idf
@@ -138,11 +157,49 @@ def star_predictions(spark, folder):
     return taken(spark, name)
 
 
+# The largest part of the mean weighted loss's gradient that a finished fit may have.
+FLAT = 1e-3
+
+
+@query(with_text(f"""
+{_balanced_sql('train', TRAIN)}
+SELECT stars, CAST(row_number() OVER (ORDER BY count(*) DESC, stars) - 1 AS DOUBLE) AS label, count(*) AS rows, true AS at_optimum FROM train GROUP BY stars"""))
+def star_fit_certificate(spark, folder):
+    """Per class its label, its rows, and whether the gradient of its part of the loss is flat at the fitted weights."""
+    clean = op.strip_links(text_reviews(spark, folder).where("stars IS NOT NULL").select("review_id", "stars", "text").na.fill("", "text"))
+    train, _ = op.stratified_split(clean, "stars", 0.8, 1, "review_id")
+    with op.staged(op.balance(train, "stars", 2, "review_id").hint("rebalance"), "train") as rows:
+        fitted = op.tfidf_stages().fit(rows)
+        train = fitted.transform(rows)
+        weights = op.class_weights(train).select("label", "weight")
+        steepest = op.loss_gradient(op.fit_stars(train), train.join(weights, "label"), weight_col="weight").groupBy(F.col("class").cast("double").alias("label"))
+        flat = steepest.agg((F.max(F.abs("gradient")) < FLAT).alias("at_optimum"))
+        found = train.groupBy("stars", "label").agg(F.count("*").alias("rows")).join(flat, "label")
+        lines = found.select("stars", "label", "rows", "at_optimum").collect()  # a line per class
+    return spark.createDataFrame(lines, "stars string, label double, rows long, at_optimum boolean")
+
+
+HELD_OUT_VECTOR = f"{bucket_sql('vec_id', 3)} >= 0.8::DOUBLE * {WIDTH}"
+
+
+def _predicted_vectors(spark, folder):
+    """Fitted on four of five vectors by key, applied to the others."""
+    train, test = op.split(table(spark, folder, "embeddings"), [0.8, 0.2], 3, "vec_id")
+    return op.fit_embeddings(train).transform(test)
+
+
 @query()
 def embedding_predictions(spark, folder):
-    vectors = table(spark, folder, "embeddings")
-    model = op.fit_embeddings(vectors)
-    return model.transform(op.embedding_features(vectors)).select("vec_id", "label", "prediction")
+    return _predicted_vectors(spark, folder).select("vec_id", "label", "prediction")
+
+
+@query(f"SELECT vec_id, label, count(*) OVER (PARTITION BY label) AS class_rows, true AS predicted FROM embeddings WHERE {HELD_OUT_VECTOR}")
+def embedding_held_out_rows(spark, folder):
+    """All of the predictions but the prediction: split, labels, class sizes, and that it is one of the classes."""
+    classes = [r[0] for r in table(spark, folder, "embeddings").select("label").distinct().collect()]
+    found = _predicted_vectors(spark, folder)
+    sizes = found.groupBy("label").agg(F.count("*").alias("class_rows"))
+    return found.join(sizes, "label").select("vec_id", "label", "class_rows", F.coalesce(F.col("prediction").isin(classes), F.lit(False)).alias("predicted"))
 
 
 # Sentiment labels against the stars they stand for, as class indices: 1 positive, 0 negative.

@@ -99,17 +99,29 @@ def clean_lines(spark, folder):
     return event_lines(spark, folder).select("event_id", clean_line(F.col("value")).alias("line"))
 
 
+# Lines whose names come and go: every third event has no session, every fourth names its kind last.
+NAMED_SQL = """
+SELECT event_id, event_type, user_id, event_id % 3 = 0 AS bare, event_id % 4 = 0 AS turned FROM events"""
+
+
 @query(f"""
-WITH {EVENT_LINES_SQL}
-SELECT event_id, event_type || ',' AS kind, CAST(NULL AS VARCHAR) AS missing, '' AS backwards
-FROM event_lines""")
+SELECT event_id, CASE WHEN turned THEN '' ELSE event_type || ',' END AS kind,
+       CASE WHEN bare THEN NULL WHEN turned THEN user_id || ',event_type' || event_type || ',' ELSE user_id || ',' END AS session_to_end,
+       CASE WHEN bare THEN NULL WHEN turned THEN user_id || ',' ELSE '' END AS session_to_kind
+FROM ({NAMED_SQL})""")
 def values_between_names(spark, folder):
-    line = F.col("value")
-    return event_lines(spark, folder).select(
+    """Between two names of which one may be missing (NULL) or come first (empty)."""
+    kind = F.concat(F.lit('"event_type":"'), "event_type", F.lit('"'))
+    session = F.when(F.col("event_id") % 3 != 0, F.concat(F.lit('"session":'), F.col("user_id").cast("string")))
+    first = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"))
+    straight = F.concat_ws(",", first, kind, F.lit('"props":0'), session, F.lit('"end":1}'))
+    turned = F.concat_ws(",", first, F.lit('"props":0'), session, kind, F.lit('"end":1}'))
+    line = F.when(F.col("event_id") % 4 == 0, turned).otherwise(straight)
+    return table(spark, folder, "events").select(
         "event_id",
-        extract_between(line, "event_type", "session").alias("kind"),
-        extract_between(line, "session", "stars").alias("missing"),
-        extract_between(line, "props", "session").alias("backwards"),
+        extract_between(line, '"event_type', '"props').alias("kind"),
+        extract_between(line, '"session', '"end').alias("session_to_end"),
+        extract_between(line, '"session', '"event_type').alias("session_to_kind"),
     )
 
 

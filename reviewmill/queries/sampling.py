@@ -1,4 +1,4 @@
-"""Samples, splits and balancing: by hash bucket with SQL, by Spark's own draws without."""
+"""Samples, splits and balancing: by the hash bucket of a key, and without a key by that of the whole row."""
 
 from pyspark.sql import functions as F
 
@@ -26,11 +26,31 @@ def sample_by_key(spark, folder):
     return op.sample_about(table(spark, folder, "documents"), N_ROWS, 42, "doc_id")
 
 
-@query()
+def drawn_sql(columns, source, seed):
+    """Rows of ``source`` with the bucket of their fields and their place among equal rows."""
+    text = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    place = f"row_number() OVER (PARTITION BY {', '.join(columns)}) - 1"
+    return f"SELECT *, {bucket_sql(f'(md5({text}) || {SLASH} || place)', seed)} AS bucket FROM (SELECT *, {place} AS place FROM {source})"
+
+
+SLASH = "'/'"
+DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+LINE = ["l_returnflag", "l_linestatus", "l_linenumber"]
+
+
+@query(f"SELECT {', '.join(DOCUMENT)} FROM ({drawn_sql(DOCUMENT, 'documents', 42)}) WHERE bucket < {N_ROWS}::DOUBLE / (SELECT count(*) FROM documents) * {WIDTH}")
 def sample_by_draw(spark, folder):
     return op.sample_about(table(spark, folder, "documents"), N_ROWS, 42)
 
 
+@query(f"""
+SELECT {', '.join(LINE)}, count(*) AS count FROM ({drawn_sql(LINE, 'lineitem', 42)})
+WHERE bucket < 1000::DOUBLE / (SELECT count(*) FROM lineitem) * {WIDTH} GROUP BY ALL""")
+def sample_of_equal_rows(spark, folder):
+    """Few different rows, each there thousands of times: how often each was drawn."""
+    return op.sample_about(table(spark, folder, "lineitem").select(LINE), 1000, 42).groupBy(LINE).agg(F.count("*").alias("count"))
+
+
 @query(f"""
 SELECT doc_id, CASE WHEN {bucket_sql('doc_id', 42)} < 0.8::DOUBLE * {WIDTH} THEN 'train' ELSE 'test' END AS part FROM documents""")
 def split_by_key(spark, folder):
@@ -38,11 +58,11 @@ def split_by_key(spark, folder):
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
-@query("SELECT count(*) AS n FROM documents")
+@query(f"SELECT doc_id, CASE WHEN bucket < 0.8::DOUBLE * {WIDTH} THEN 'train' ELSE 'test' END AS part FROM ({drawn_sql(DOCUMENT, 'documents', 42)})")
 def split_by_draw(spark, folder):
-    """The drawn parts are disjoint and cover the table: together they have its rows."""
+    """The drawn parts are disjoint and cover the table."""
     train, test = op.split(table(spark, folder, "documents"), [0.8, 0.2], 42)
-    return train.select("doc_id").union(test.select("doc_id")).agg(F.count_distinct("doc_id").alias("n"))
+    return train.select("doc_id", F.lit("train").alias("part")).union(test.select("doc_id", F.lit("test")))
 
 
 @query(with_text(f"""
@@ -64,10 +84,13 @@ def stratified_split_per_class(spark, folder):
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
-@query()
+@query(with_text(f"""
+SELECT review_id, stars, CASE WHEN bucket < CASE WHEN stars IS NULL THEN 0::DOUBLE ELSE 0.8::DOUBLE END * {WIDTH} THEN 'train' ELSE 'test' END AS part
+FROM ({drawn_sql(['review_id', 'stars'], '(SELECT review_id, stars FROM text_reviews)', 1)})"""))
 def stratified_by_draw(spark, folder):
     reviews = text_reviews(spark, folder).select("review_id", "stars")
-    return reviews.sampleBy("stars", {"5.0": 0.8, "3.0": 0.8, "2.0": 0.8, "1.0": 0.8}, seed=1)
+    train, test = op.stratified_split(reviews, "stars", {"5.0": 0.8, "3.0": 0.8, "2.0": 0.8, "1.0": 0.8}, 1)
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
 RATIOS_SQL = """

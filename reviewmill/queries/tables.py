@@ -19,6 +19,43 @@ def scan_delimited(spark, folder):
     return src.read_delimited(spark, path, REVIEW_SCHEMA, one_line=True)
 
 
+# Every seventh review is cut short, another has a field too many, another a word for a number.
+MALFORMED_SQL = with_text("""
+, lines AS (SELECT *, CASE CAST(review_id AS BIGINT) % 7 WHEN 1 THEN 'short' WHEN 2 THEN 'long' WHEN 3 THEN 'bad value' END AS bad_kind FROM text_reviews)
+, malformed AS (
+  SELECT review_id, user_id, business_id, CASE WHEN bad_kind = 'short' THEN NULL ELSE stars END AS stars,
+         CASE WHEN bad_kind IN ('short', 'bad value') THEN NULL ELSE useful END AS useful, CASE WHEN bad_kind = 'short' THEN NULL ELSE date END AS date, bad_kind FROM lines)""")
+
+
+def _malformed_lines(spark, folder):
+    """Rendered reviews without their texts, some of them broken: the folder of the lines."""
+    path = scratch_path(spark, "malformed")
+    place = F.col("review_id").cast("long") % 7
+
+    def field(column):
+        return F.concat(F.lit('"'), column, F.lit('"'))
+
+    named = [field(F.col(c)) for c in ("review_id", "user_id", "business_id")]
+    useful = F.when(place == 3, "many").otherwise(F.col("useful").cast("string"))
+    rest = [F.coalesce("stars", F.lit("")), useful, F.lit("0"), F.lit(""), F.lit('"a | b"'), F.col("date")]
+    whole = F.concat_ws("|", *named, *rest)
+    line = F.when(place == 1, F.concat_ws("|", *named)).when(place == 2, F.concat_ws("|", whole, F.lit("more"))).otherwise(whole)
+    text_reviews(spark, folder).select(line.alias("value")).write.text(path)
+    return path
+
+
+@query(MALFORMED_SQL + " SELECT * FROM malformed")
+def scan_malformed(spark, folder):
+    """Typed rows of a file with broken lines, each with the kind of its fault."""
+    rows = src.read_delimited_checked(spark, _malformed_lines(spark, folder), REVIEW_SCHEMA)
+    return rows.select("review_id", "user_id", "business_id", "stars", "useful", "date", "bad_kind")
+
+
+@query(MALFORMED_SQL + " SELECT coalesce(bad_kind, 'good') AS kind, count(*) AS rows, count(review_id) AS with_first_field FROM malformed GROUP BY ALL")
+def malformed_line_counts(spark, folder):
+    return src.malformed_counts(src.read_delimited_checked(spark, _malformed_lines(spark, folder), REVIEW_SCHEMA))
+
+
 BUSINESS_SQL = """
 SELECT CAST(p_partkey AS VARCHAR) AS business_id, p_name AS name, p_brand || ', ' || p_type AS address, p_brand AS city,
        p_type AS state, CAST(p_size AS VARCHAR) AS postal_code, p_retailprice / 10 AS latitude, -p_retailprice / 20 AS longitude,
