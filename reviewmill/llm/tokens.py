@@ -7,21 +7,16 @@ Steps: documents are range-sorted by doc_id and tokenized in one pass, in tasks
 the ids (summed in each task), a third codes the blocks. Reading back decodes each block by itself. What the driver sees is the
 table, at most one row per id of the vocabulary, and nothing else.
 
-A text's ids are those of its words one after another. Each task keeps the ids of words in a bounded memory; what is not there goes through the
-tokenizer library, many words at a time, and texts with unusual characters go through it as a whole.
+Texts become ids as ``words`` has it, some megabytes at a time.
 
 Edge cases: a NULL or empty text has only the end id; a NULL doc_id comes first; repeated rows each have their place; an empty table
 gives an empty corpus; other columns than doc_id and text are left out.
 """
 
-import os
-import re
-import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -29,77 +24,13 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import rans
 from .common import stored
+from .words import Words, slices, with_end
 
 END_ID = 1
 BLOCK_IDS = 1 << 18
-KNOWN_WORDS = 250_000
-
-
-# The vocabulary's own division of lower-cased text into words (fixed value); each word has its own tokens, the last with an end mark.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-# Texts with other characters than these, or with what may be a special token, go through the library as a whole.
-UNUSUAL = re.compile("[^\t-\r -~\xa0-\u04ff]|<[|]")
-END_MARK = "</w>"
-
-
-class Memory:
-    """A bounded map that forgets what was not asked for since it was last full."""
-
-    def __init__(self, limit):
-        self.limit, self.now, self.before = limit, {}, {}
-
-    def missing(self, keys):
-        """Keep ``keys``, a set, and return those without a value."""
-        if len(self.now) + len(keys) > self.limit:
-            self.now, self.before = {}, self.now
-        new = keys.difference(self.now)
-        for key in new & self.before.keys():
-            self.now[key] = self.before[key]
-        return list(new.difference(self.before))
-
-
-class Words:
-    """Ids of texts, as bytes of little-endian 32-bit integers, by way of a bounded memory of words."""
-
-    def __init__(self, path):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.words = Tokenizer.from_file(path), Memory(KNOWN_WORDS)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for word, i in vocabulary.items() if word.endswith(END_MARK)]] = True
-
-    def learn(self, words):
-        """Encode words, many in one text, and part the ids at the end marks."""
-        for at in range(0, len(words), 1000):
-            part = words[at : at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part) or (len(stops) and stops[-1] != len(ids)):
-                raise ValueError("the words are not those of this vocabulary")
-            data, begin = ids.tobytes(), 0
-            for word, stop in zip(part, (4 * stops).tolist()):
-                self.words.now[word] = data[begin:stop]
-                begin = stop
-
-    def ids(self, texts):
-        """One bytes object per text."""
-        split = [
-            None if text and UNUSUAL.search(text) else WORDS.findall(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()) if text else ()
-            for text in texts
-        ]
-        self.learn(self.words.missing(set().union(*[words for words in split if words])))
-        get = self.words.now.__getitem__
-        return [
-            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(get, words))
-            for text, words in zip(texts, split)
-        ]
 
 
 def _tokenize(path, end_id, block_ids):
-    end = int(end_id).to_bytes(4, "little")
-
     def run(batches):
         words, part = Words(path), TaskContext.get().partitionId()
         number, before = 0, 0
@@ -107,20 +38,29 @@ def _tokenize(path, end_id, block_ids):
 
         def block():
             nonlocal number, before, keys, lengths, data, held
-            row = {"part": [part], "block": [number], "before": [before], "n_ids": [held], "doc_id": [keys], "lengths": [lengths], "ids": [b"".join(data)]}
+            sizes = np.concatenate(lengths)
+            row = {
+                "part": [part], "block": [number], "before": [before], "n_ids": [held],
+                "doc_id": pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), pa.concat_arrays(keys)),
+                "lengths": pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), pa.array(sizes)), "ids": [np.concatenate(data).tobytes()],
+            }
             number, before = number + 1, before + held
             keys, lengths, data, held = [], [], [], 0
             return pa.RecordBatch.from_pydict(row, schema=_BLOCK)
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                slice_ = batch.slice(start, 512)
-                for key, ids in zip(slice_.column(0).to_pylist(), words.ids(slice_.column(1).to_pylist())):
-                    keys.append(key)
-                    data.append(ids + end)
-                    lengths.append(len(data[-1]) // 4)
-                    held += lengths[-1]
-                    if held >= block_ids:
+            for slice_ in slices(batch, 1):
+                ids, sizes = with_end(*words.ids(slice_.column(1)), end_id)
+                ends = np.append(0, np.cumsum(sizes))
+                # Blocks end behind the first document that fills them.
+                full = np.flatnonzero(np.diff((held + ends) // block_ids)) + 1
+                for n, (a, b) in enumerate(zip(np.append(0, full), np.append(full, len(sizes)))):
+                    if a < b:
+                        keys.append(slice_.column(0).slice(a, b - a))
+                        lengths.append(sizes[a:b])
+                        data.append(ids[ends[a] : ends[b]])
+                        held += int(ends[b] - ends[a])
+                    if n < len(full):
                         yield block()
         if keys:
             yield block()
@@ -162,8 +102,9 @@ def _encode(ids, scaled):
 def write_corpus(docs, path, tokenizer, end_id=END_ID, block_ids=BLOCK_IDS):
     """Write the ids of all texts to the folder ``path``. ``tokenizer`` is a file of the tokenizers library."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    # The number of a row only splits rows of one id and text, so that these need not meet in one task.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("row")]
     plain = texts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_tokenize(tokenizer, end_id, block_ids), f"{_PLACE}, ids binary")
     plain = stored(plain, "ids", compression="zstd")
     counts = plain.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
