@@ -7,8 +7,10 @@ ranks of a wavelet matrix, their occurrences located by sampled suffix positions
 The alphabet of the index are the words of the benchmark: any other word cannot be in an occurrence and ends a segment, and segments
 shorter than the shortest window are left out. That loses no occurrence.
 
-Scale: one narrow pass over the documents, nothing is shuffled. The benchmark is the stated query set; it goes to the
-tasks in blocks of at most ``BLOCK_BYTES`` of text, one pass each, so it may be of any size.
+Scale: one narrow pass over the documents, nothing is shuffled. The benchmark is the stated query set; it is taken in blocks of about
+``BLOCK_BYTES`` of text (or one item), one after another: a block's texts are broadcast, the tasks make its windows, and the pass over the
+documents is written before the next block is read. So neither the driver nor a task ever holds more than one block, whose windows take about
+85 times its text, and a larger benchmark costs more passes.
 
 Edge cases: a NULL or blank text has no words and no spans; a NULL or blank item has no windows; an item with NULL as its id marks words but is not
 listed; repeated items are listed once; repeated rows are each searched; an empty table on either side gives no spans;
@@ -25,7 +27,7 @@ from .common import stored
 from .fmindex import FMIndex
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 1 << 20
 SHARD_SYMBOLS = 1 << 20
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -135,8 +137,9 @@ def _merge(old, new):
 _SPAN = pa.list_(pa.list_(pa.int32()))
 
 
-def _find(windows, kept):
+def _find(items, window, kept):
     def run(batches):
+        windows = Windows(items.value, window)
         for shard in _shards(batches, kept, windows):
             found = occurrences(shard.column(kept).to_pylist(), windows)
             before = list(zip(shard.column(kept + 2).to_pylist(), shard.column(kept + 3).to_pylist()))
@@ -150,13 +153,23 @@ def _find(windows, kept):
     return run
 
 
-def blocks_of(benchmark, window=WINDOW):
-    """The windows of the benchmark in blocks of bounded text."""
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-size // BLOCK_BYTES)
-    for block in range(count):
-        part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
-        yield Windows([tuple(r) for r in part.select("item_id", "text").collect()], window)
+class Blocks:
+    """A benchmark in blocks of bounded text, read one at a time."""
+
+    def __init__(self, benchmark, window):
+        self.items, self.window = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).distinct(), window
+        self.count = -(-(self.items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES)
+
+    def passed(self, rows, step):
+        """``rows`` after ``step(items, window, 1)`` for each block. With several blocks each pass is written."""
+        for block in range(self.count):
+            part = self.items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(self.count)) == block)
+            items = rows.sparkSession.sparkContext.broadcast([tuple(r) for r in part.collect()])  # a block of bounded size
+            rows = rows.mapInArrow(step(items, self.window, 1), rows.schema)
+            if self.count > 1:
+                rows = stored(rows, "pass")
+                items.destroy()
+        return rows
 
 
 def find_windows(docs, benchmark, keep=("doc_id",), window=WINDOW):
@@ -165,10 +178,10 @@ def find_windows(docs, benchmark, keep=("doc_id",), window=WINDOW):
         F.struct(*keep).alias("row"), F.col("text").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<array<int>>").alias("spans"), F.array().cast("array<string>").alias("items"),
     )
-    schema = rows.schema
-    for windows in [*blocks_of(benchmark, window)] or [Windows([])]:
-        rows = rows.mapInArrow(_find(windows, 1), schema)
-    return rows
+    blocks = Blocks(benchmark, window)
+    if not blocks.count:
+        return rows.mapInArrow(_find(docs.sparkSession.sparkContext.broadcast([]), window, 1), rows.schema)
+    return blocks.passed(rows, _find)
 
 
 def cut(text, spans):
@@ -181,8 +194,9 @@ def cut(text, spans):
     return "\n".join(p for p in (x.strip() for x in [*out, text[at:]]) if p)
 
 
-def _cut(windows, kept):
+def _cut(items, window, kept):
     def run(batches):
+        windows = Windows(items.value, window)
         for shard in _shards(batches, kept, windows):
             texts = shard.column(kept).to_pylist()
             left, changed = list(range(len(texts))), set()
@@ -203,16 +217,11 @@ def _cut(windows, kept):
 def remove_windows(docs, benchmark, window=WINDOW):
     """``row`` (all columns), the text without any window of the benchmark, and whether it was cut."""
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"), F.lit(False).alias("was_cut"))
-    schema, blocks = rows.schema, [*blocks_of(benchmark, window)]
-    for windows in blocks:
-        rows = rows.mapInArrow(_cut(windows, 1), schema)
-    while len(blocks) > 1:  # a cut for one block may bring a window of another together
-        rows = stored(rows, "cut")
+    blocks = Blocks(benchmark, window)
+    rows = blocks.passed(rows, _cut)
+    while blocks.count > 1:  # a cut for one block may bring a window of another together
         again = rows.select(F.struct("row", "was_cut").alias("row"), "text", F.lit(False).alias("was_cut"))
-        schema = again.schema
-        for windows in blocks:
-            again = again.mapInArrow(_cut(windows, 1), schema)
-        again = stored(again, "cut")
+        again = blocks.passed(again, _cut)
         rows = again.select(F.col("row.row").alias("row"), "text", (F.col("row.was_cut") | F.col("was_cut")).alias("was_cut"))
         if again.where("was_cut").isEmpty():
             break

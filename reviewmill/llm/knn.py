@@ -18,8 +18,8 @@ at most ``PIVOTS`` squared small rows.
 
 Components are floor(256 * x). Scores are exact while 2 ** 53 bounds them, as sums of doubles.
 
-Edge cases: a vector that is NULL, empty or holds NULL, NaN or an infinity takes no part, as query or candidate, nor does one with a NULL
-id; shorter vectors count as filled up with zeros; repeated rows of one id count once, the best score of each pair; fewer than k candidates give
+Edge cases: a vector that is NULL or holds NULL, NaN or an infinity takes no part, as query or candidate, nor does one with a NULL
+id; an empty vector has score 0 with every other, and shorter vectors count as filled up with zeros; repeated rows of one id count once, the best score of each pair; fewer than k candidates give
 all of them; ties go to the smaller id; empty tables give an empty table; other columns are left out.
 """
 
@@ -39,7 +39,7 @@ FIRST_ROWS = 4096
 
 def _usable(vector):
     wrong = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vector.isNotNull() & (F.size(vector) > 0) & ~wrong
+    return vector.isNotNull() & ~wrong
 
 
 def _matrix(column, width):

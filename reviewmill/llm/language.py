@@ -142,7 +142,7 @@ def train(docs, lang="lang", text="text", key="doc_id", max_rows=MAX_ROWS):
     total = counts.groupBy("number").agg(F.sum("n").alias("total"))
     share = counts.join(F.broadcast(total), "number").withColumn("share", F.col("n") / F.col("total"))
     most = F.max("share").over(Window.partitionBy("code"))  # at most one row per language
-    held = share.withColumn("most", most).where((F.col("share") * RARER >= F.col("most")) & (F.col("n") > 1))
+    held = share.withColumn("most", most).where(F.col("share") * RARER >= F.col("most"))
     word, bit = F.expr("int(number div 64)"), F.expr("shiftleft(1L, number % 64)")
     masks = held.groupBy("code", word.alias("word")).agg(F.bit_or(bit).alias("mask"))
     slots = masks.mapInArrow(_slots, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))

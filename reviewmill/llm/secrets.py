@@ -10,7 +10,7 @@ such as password or token in any case, with quotes and blanks or without, of any
 * neighbouring words: the same for the two words before, the one after, and what stands before the value in its own word.
 
 The forest is trained from labelled findings (``label_findings`` gives those that formats decide: well-known key formats and assignments of
-non-words are secrets; numbers, dates, addresses and dictionary words are not) and then decides about all. Labels come from formats, the
+non-words are secrets; numbers, dates, addresses and dictionary words are not; labels of other origin can be given) and then decides about all. Labels come from formats, the
 features do not see them, so findings without a known format get a decision too.
 
 Scale: texts are split and filtered in their rows, without a shuffle; only candidates, a few per document, go on. Corpus words are
@@ -180,9 +180,18 @@ def decide(found, model, accept=0.5):
     return scored.withColumn("score", score).withColumn("secret", F.col("score") >= accept)
 
 
-def scan(docs):
-    """Find, describe, learn from what formats decide, and decide about all candidates."""
+def scan(docs, labelled=None):
+    """Find, describe, learn and decide about all candidates.
+
+    ``labelled`` are findings whose truth is known: doc_id, at, nth and label (1.0 for a secret). Without them, those that formats decide are the labelled ones.
+    """
     docs = docs.select("doc_id", "source", "text")
     found = stored(candidates(docs).withColumn("id", F.monotonically_increasing_id()), "candidates")
-    found = stored(label_findings(describe(found, corpus_words(docs))), "findings")
+    found = describe(found, corpus_words(docs))
+    if labelled is None:
+        found = label_findings(found)
+    else:
+        known = labelled.select("doc_id", "at", "nth", F.col("label").cast("double").alias("label")).dropDuplicates(["doc_id", "at", "nth"])
+        found = found.join(known, ["doc_id", "at", "nth"], "left")
+    found = stored(found, "findings")
     return decide(found, train(found))
