@@ -16,13 +16,14 @@ def scored_category_reviews(reviews, business, category, model):
     return right_prediction(score_sentiment(category_reviews(reviews, business, category), model))
 
 
-def category_sentiment(spark, reviews, business, category, model, table, columns=SCORED_COLUMNS):
+def category_sentiment(spark, reviews, business, category, model, table, columns=SCORED_COLUMNS, buckets=None):
     """Score a batch, measure it and upsert it into ``table``; the accuracy row.
 
     The scored batch is staged, since the measure and the joins of the merge all read it, most of
-    them a single column.
+    them a single column. With ``buckets`` a new table is divided by the key, so that later batches rewrite only the
+    parts they touch.
     """
     scored = scored_category_reviews(reviews, business, category, model)
     with staged(scored, "scored_batch") as batch:
-        upsert_table(spark, table, batch, "review_id", columns, columns)
+        upsert_table(spark, table, batch, "review_id", columns, columns, buckets)
         return accuracy(batch).first()
