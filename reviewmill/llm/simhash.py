@@ -1,4 +1,4 @@
-"""Near duplicates: by SimHash, linked through the anchor points of a covering code, and by the similarity of shingle sets.
+"""Near duplicates by SimHash, linked through the anchor points of a covering code.
 
 Fingerprint: bit j is set if it is set in more than half of the XXH64 hashes (seed 42) of a text's word shingles, repeats included.
 
@@ -11,11 +11,7 @@ a point, and any two that do differ in at most two bits. So no anchor, however c
 
 Links join distinct fingerprints; copies of a text have the same one and are counted once. Components come from stars (``graph``).
 
-Two bits reach little but exact copies. ``first_of_each`` therefore has its own rule: texts are near copies if their sets of ``WIDE_SHINGLE``-word
-shingles have a Jaccard similarity of ``SIMILAR`` or more. Candidates come from ``BANDS`` independent fingerprints of ``BAND_ROWS`` minima each (MinHash):
-a pair at the limit shares none with probability (1 - 0.8 ** 3) ** 20, 6 in 10 million, and more similar ones less. Every candidate is checked on the whole sets. Texts
-of a fingerprint are first checked against the least of them; then those that are not yet connected against each other, in blocks, so a crowded
-fingerprint neither meets in one task nor makes all its pairs, unless its texts are neither near copies nor far apart (``ALIKE``).
+``first_of_each`` keeps one row of each component, with the same shingles and distance.
 
 Scale: one pass over the texts, in Arrow batches; 17 rows of 16 bytes per distinct fingerprint are shuffled. A fingerprint that a
 third of all documents share is one row until the last join, which Spark splits.
@@ -41,16 +37,6 @@ THRESHOLD = 2
 # Fixed values: (bits, generator polynomial, covering radius) of the perfect cyclic codes, from the lowest bit up.
 CODES = [(23, 0b101011100011, 3), (23, 0b101011100011, 3), (15, 0b10011, 1), (3, 0b111, 1)]
 
-# Near copies by shingle sets: words of a shingle, least similarity (4 / 5), fingerprints and minima in each.
-WIDE_SHINGLE = 5
-SIMILAR = (4, 5)
-BANDS, BAND_ROWS = 20, 3
-# Equal minima, of all, below which two texts are not compared: 48 are expected at the limit, with a deviation of 3.1.
-ALIKE = 30
-BLOCK = 2048
-_DRAW = np.random.default_rng(SEED)
-FACTORS, TERMS = (_DRAW.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(x) for x in (1, 0))
-
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -189,92 +175,11 @@ def near_duplicates(prints, key="doc_id"):
     return prints.join(known.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
-def minima(hashes):
-    """The least of a text's shingle hashes under each of the permutations."""
-    least = np.full(len(FACTORS), np.iinfo(np.uint64).max)
-    for at in range(0, len(hashes), 4096):
-        least = np.minimum(least, (FACTORS[:, None] * hashes[at : at + 4096] + TERMS[:, None]).min(1))
-    return least
-
-
-def _sketch(batches):
-    """(number, key, row, text) -> (number, key, row, fp: digest of the words, bands, a byte of each minimum); no bands without words."""
-    for batch in batches:
-        codes, bands, sketches = [], [], []
-        for text in batch.column(3).to_pylist():
-            whole, hashes = _shingles(text, WIDE_SHINGLE)
-            least = minima(hashes)
-            codes.append(xxhash.xxh64_intdigest(whole, SEED) if whole else 0)
-            raw = least.astype("<u8").reshape(BANDS, BAND_ROWS)
-            bands.append(np.array([xxhash.xxh64_intdigest(r.tobytes(), b) for b, r in enumerate(raw)], np.uint64).view(np.int64) if whole else np.zeros(0, np.int64))
-            sketches.append(least.astype(np.uint8).tobytes())
-        fps = pa.array(np.array(codes, "<u8").view("<i8"))
-        columns = [*batch.columns[:3], fps, pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["number", "key", "row", "fp", "bands", "sketch"])
-
-
-def _shingle_sets(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            sets = [np.unique(_shingles(t, WIDE_SHINGLE)[1]).view(np.int64) for t in batch.column(1)[at : at + 256].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 256], pa.array(sets, pa.list_(pa.int64()))], names=["fp", "shingles"])
-
-
-def _similar(pairs, sets):
-    """The pairs (u, v) whose shingle sets are similar."""
-    placed = pairs.join(sets.toDF("v", "theirs"), "v").join(sets.toDF("u", "own"), "u")
-    placed = placed.select("u", "v", F.size(F.array_intersect("own", "theirs")).alias("both"), (F.size("own") + F.size("theirs")).alias("sum"))
-    return placed.where(F.col("both") * SIMILAR[1] >= (F.col("sum") - F.col("both")) * SIMILAR[0]).select("u", "v")
-
-
-def _alike(table):
-    """Pairs of texts of a band, of different components and with ``ALIKE`` equal minima or more; of one block, or between two."""
-    left, right = table.column("left")[0].as_py(), table.column("right")[0].as_py()
-    block, fp, root = (table.column(c).to_numpy() for c in ("block", "fp", "root"))
-    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(fp), -1)
-    mine, others = np.flatnonzero(block == left), np.flatnonzero(block == right)
-    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i in mine:
-        near = others[root[others] != root[i]]
-        near = near[(sketch[near] == sketch[i]).sum(1) >= ALIKE]
-        near = near[fp[near] < fp[i]] if left == right else near
-        us.append(np.full(len(near), fp[i]))
-        vs.append(fp[near])
-    u, v = np.concatenate(us), np.concatenate(vs)
-    return pa.Table.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
-
-
-def similar_links(known, texts):
-    """Stored (fp, bands, sketch) and (fp, text) of distinct texts -> links (u, v) that connect all that are similar."""
-    copies = stored(known.select("fp", F.explode("bands").alias("band")), "bands")
-    crowded = stored(copies.groupBy("band").agg(F.count("*").alias("n"), F.min("fp").alias("low")).where("n > 1"), "crowded")
-    met = stored(copies.join(crowded, "band"), "met")
-    asked = met.select("fp").distinct()
-    sets = stored(texts.join(asked, "fp", "left_semi").select("fp", "text").mapInArrow(_shingle_sets, "fp long, shingles array<long>"), "shingles")
-    stars = met.where("fp != low").select(F.col("fp").alias("u"), F.col("low").alias("v")).distinct()
-    first = stored(_similar(stars, sets), "stars")
-
-    roots = components(first).withColumnRenamed("node", "fp")
-    placed = asked.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rest = stored(met.select("band", "fp").join(placed, "fp"), "rest")
-    open_bands = rest.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
-    members = rest.join(open_bands.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band")
-    members = members.join(known.select("fp", "sketch"), "fp").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    members = members.withColumn("other", other).withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other"))
-    pairs = members.select("band", "left", "right", "block", "fp", "root", "sketch").groupBy("band", "left", "right").applyInArrow(_alike, "u long, v long")
-    return first.union(_similar(stored(pairs.distinct(), "pairs"), sets))
-
-
 def first_of_each(docs, key="doc_id"):
-    """One row of each group of near copies by shingle sets: that with the smallest key, NULL last; all columns of ``docs``."""
-    columns = docs.columns
+    """One row of each component: that with the smallest key, NULL last; all columns of ``docs``, whatever their names."""
     numbered = docs.select(F.monotonically_increasing_id().alias("number"), F.col(key).alias("key"), F.struct("*").alias("row"), F.col("text").alias("text"))
-    schema = numbered.drop("text").withColumns({"fp": F.lit(0).cast("long"), "bands": F.array(F.lit(0).cast("long")), "sketch": F.lit(b"")}).schema
-    prints = stored(numbered.mapInArrow(_sketch, schema), "prints")
+    prints = stored(fingerprints(numbered, keep=["number", "key", "row"]), "prints")
+    found = near_duplicates(prints.select("number", "key", "fp"), "key")
     order = F.struct(F.col("key").isNull().alias("none"), "key", "number")
-    known = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "known")
-    one = prints.join(known.select(F.col("first.number").alias("number")), "number", "left_semi")
-    roots = components(similar_links(one.select("fp", "bands", "sketch"), one.select("fp", F.col("row.text").alias("text")))).withColumnRenamed("node", "fp")
-    kept = known.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first")["number"].alias("number"))
-    return prints.join(kept, "number", "left_semi").select(*[F.col("row").getField(c).alias(c) for c in columns])
+    kept = found.groupBy("root").agg(F.min(order)["number"].alias("number"))
+    return prints.join(kept, "number", "left_semi").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
