@@ -1,6 +1,6 @@
 """A training corpus from raw documents, in stages that are each written and read again.
 
-Documents that the quality classifier rejects go; of each group of near copies (0.8 or more of their five-word shingles) the one with the smallest doc_id stays; passages of
+Documents that the quality classifier rejects go; of each group of near copies (SimHash of three-word shingles, linked at two bits or less) the one with the smallest doc_id stays; passages of
 benchmark items are cut out; sources are mixed to their target weights, so documents may be repeated (up to three times) or left out;
 the result is dealt to shards of equal size, copies of a document to the same shard as far as it has room.
 
