@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 
 # Words as runs of anything but blanks and the control characters 9 to 13.
 WORD = r"[^ \t-\r]+"
@@ -21,7 +21,14 @@ def stored(df, name, **options):
     """
     path = scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(table):
+    """Delete the files of a ``stored`` table that nothing will read again: all that was made from it is stored itself."""
+    drop_scratch(table.sparkSession, table.stored_at)
 
 
 def prefix_sums(df, groups, bucket, order, value, name, per_group=None):

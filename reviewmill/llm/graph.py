@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _lower(edges):
@@ -25,12 +25,13 @@ def components(links):
     """(u, v) links of long ids -> (node, root) for every linked node, the root being the least node of its component.
 
     Alternates large stars and small stars until nothing changes, in about the square of the logarithm of the nodes as rounds.
-    Each round is a written table. A hub is a hot key of plain joins, which Spark splits.
+    Each round is a written table, which takes the place of the one before. A hub is a hot key of plain joins, which Spark splits.
     """
     edges, mark = stored(_lower(links), "edges"), None
     while True:
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(now) == mark or now[0] == 0:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
-        mark = tuple(now)
+        mark, before = tuple(now), edges
         edges = stored(_hang(_hang(edges, True), False), "edges")
+        discard(before)

@@ -4,7 +4,8 @@ Law "rows": the shards hold equally many documents, or one more. A label is a sh
 dealt in turn; in each round every linked document counts the labels of its neighbours and, if another label has
 more neighbours than its own, asks to move there. Only half of the documents, drawn anew by hash each round, may ask, so that pairs
 do not just swap. Quotas keep the balance: moves from a to b are matched by moves from b to a, and beyond
-that b takes no more linked documents than it has room for. Requests with the highest gain go first. Documents without links fill up
+that b takes no more linked documents than it has room for. Requests with the highest gain go first. Groups that fit a shard and are still split are then
+moved whole where there is room (``gather``). Documents without links fill up
 the shards at the end, to the exact count.
 
 Copies of a text are linked as a star of stars: each to the first of its salted part, and those to the first of all. With about the
@@ -22,12 +23,14 @@ from math import isqrt
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .common import prefix_sums, stored
+from .common import discard, prefix_sums, stored
+from .graph import components
 
 SHARDS = 24
 ROUNDS = 12
+GATHERS = 4
 LEVELS, STEPS = 4, 16
-BUCKET_BITS = 14
+BUCKET_BITS, NODE_BITS = 10, 6
 
 
 def number_rows(docs, *columns):
@@ -51,10 +54,12 @@ def _hash(col):
 
 
 def _order(df, groups, key, name):
-    """Number the rows per group from 0, in the order of a hash of ``key`` and then of the node."""
-    df = df.withColumn("_hash", _hash(key))
-    bucket = F.shiftrightunsigned("_hash", 64 - BUCKET_BITS).cast("int")
-    return prefix_sums(df, groups, bucket, ["_hash", "node"], F.lit(1), name).drop("_hash")
+    """Number the rows per group from 0, in the order of the first bits of a hash of ``key``, then of a hash of the node; so rows of one key,
+    however many, are spread over ``1 << NODE_BITS`` buckets."""
+    df = df.withColumns({"_hash": _hash(key), "_own": _hash("node")})
+    first, second = F.shiftrightunsigned("_hash", 64 - BUCKET_BITS), F.shiftrightunsigned("_own", 64 - NODE_BITS)
+    bucket = (F.shiftleft(first, NODE_BITS) + second).cast("int")
+    return prefix_sums(df, groups, bucket, ["_hash", "_own", "node"], F.lit(1), name).drop("_hash", "_own")
 
 
 def quotas(asked, room, shards):
@@ -137,16 +142,57 @@ def propagate(nodes, links, count, shards=SHARDS, rounds=ROUNDS):
         if moved:
             allowed = F.broadcast(both.sparkSession.createDataFrame(cuts, schema))  # at most shards * shards rows
             accepted = requests.join(allowed, ["old", "new"]).where("bin <= last").select("node", "new")
+            before = labels
             labels = stored(labels.join(accepted, "node", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+            discard(before)
+        discard(requests)
         if quiet == 2:
             break
     return labels, held
 
 
+def gather(links, labels, held, room, turns=GATHERS):
+    """Bring together, as far as there is room, the linked groups that fit a shard and still lie in several: the labels and how many each shard has.
+
+    A group first asks for the shard that has most of it, then for one of those with the most room. Requests are granted in the order of a hash while
+    what comes in fits; what goes out makes room for the next turn.
+    """
+    groups = components(links.toDF("u", "v")).toDF("node", "root")
+    placed, least = stored(labels.join(groups, "node").select("node", "label", "root"), "grouped"), min(room.values())
+    for turn in range(turns):
+        free = [room[b] - held[b] for b in sorted(room)]
+        parts = placed.groupBy("root", "label").agg(F.count("*").alias("n"))
+        whole = parts.groupBy("root").agg(  # a row per shard at most
+            F.sum("n").alias("total"), F.max(F.struct("n", (-F.col("label")).alias("minus"))).alias("most"),
+            F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("own"),
+        )
+        split = whole.where((F.col("total") > F.col("most.n")) & (F.col("total") <= least))
+        roomy = F.array(*[F.lit(b) for b in sorted(room, key=lambda b: (-free[b], b))[:4]])
+        target = -F.col("most.minus") if turn == 0 else F.element_at(roomy, (F.pmod(F.xxhash64("root", F.lit(turn)), F.size(roomy)) + 1).cast("int"))
+        wishes = split.withColumn("target", target).withColumn("needs", F.col("total") - F.coalesce(F.try_element_at("own", "target"), F.lit(0)))
+        wishes = wishes.select("root", "target", "needs", _hash("root").alias("_hash"))
+        bucket = F.shiftrightunsigned("_hash", 64 - BUCKET_BITS).cast("int")
+        wishes = prefix_sums(wishes, ["target"], bucket, ["_hash", "root"], F.col("needs"), "before")
+        fits = F.col("before") + F.col("needs") <= F.element_at(F.array(*[F.lit(n) for n in free]), F.col("target") + 1)
+        granted = stored(wishes.select("root", "target", fits.alias("fits")), "granted")
+        asked = granted.agg(F.count("*").alias("all"), F.count_if("fits").alias("fit")).first()
+        if not asked["all"]:
+            break
+        if asked.fit:
+            moves, before = granted.where("fits").select("root", "target"), placed
+            placed = stored(placed.join(moves, "root", "left").select("node", F.coalesce("target", "label").cast("int").alias("label"), "root"), "grouped")
+            held = dict.fromkeys(room, 0) | {r.label: r["count"] for r in placed.groupBy("label").count().collect()}
+            discard(before)
+        discard(granted)
+    return placed.select("node", "label"), held
+
+
 def balanced_shards(nodes, links, shards=SHARDS, rounds=ROUNDS, key="doc_id"):
     """All columns of ``nodes`` with their shard and their slot in it, from 0 without gaps."""
     count = nodes.count()
     labels, held = propagate(nodes, links, count, shards, rounds)
+    if sum(held.values()):
+        labels, held = gather(links, labels, held, {b: count // shards + (b < count % shards) for b in range(shards)})
     filled, ends = 0, []
     for b in range(shards):
         filled += count // shards + (b < count % shards) - held[b]
