@@ -9,14 +9,15 @@ comes out, the wrapper, matches every page it was made from.
 From the wrapper follows the region of the main text: the article elements outside of boilerplate, else the main element, else the
 deepest element with nothing beside it or its ancestors but links, boilerplate and texts that are the same on all pages. Boilerplate are menus, headers, footers, sidebars,
 forms, what a whole class, id or role calls an advert, notice, comment and so on (words that may mean something else, and parts of a
-longer class or id, only if the element is mostly links or fixed over the host), and plain boxes in the region that say the same on all
-pages of a host although the articles differ. Marks never drop html, body, main, article, headings or the region itself. Each page is then walked along its host's wrapper.
+longer class or id, only if the element is mostly links or fixed over the host), and plain boxes that say the same on all pages of a host although
+the articles differ, wherever they stand. On a host with one page, or whose pages all say the same, nothing can be told to be fixed. Marks never drop html, body, main, headings or the
+region itself, and an article only beside another one (comments are articles too). A header is dropped with the headings in it. Each page is then walked along its host's wrapper.
 
 Blocks are block elements; character references are decoded; white space in a block becomes one space.
 
 Scale: a task merges the pages it reads into one wrapper per host, so a host with a third of all pages sends a row per task; these are merged in
-salted parts and then per host. Extraction is a join of the pages with the wrappers, one row per host, without a hint: Spark sends
-the wrappers to all tasks while they are small and else shuffles and splits a large host.
+salted parts and then per host. Extraction is a join of the pages with what follows from the wrappers, the region and the fixed boxes, one small row per host, without a
+hint: Spark sends it to all tasks while it is small and else shuffles and splits a large host.
 
 Edge cases: NULL or empty html has an empty text; a page without the region of its host's wrapper gives its body without boilerplate; a NULL
 url, or one without a host, belongs to a host of no name; broken tags and references at the end of cut-off pages are dropped or
@@ -27,6 +28,8 @@ import hashlib
 import html
 import json
 import re
+from bisect import bisect_right
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,12 +39,11 @@ from .common import stored
 
 PARTS = 64
 HOSTS_AT_ONCE = 2000
-LOOK_AHEAD = 64
 
 _TAG = r"[a-zA-Z][^\s/>]*+"
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*+"|'[^']*+')*+"""
 _TOKENS = re.compile(
-    rf"(?P<drop><!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|object|svg|math|select|textarea|title)\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*+>?)"
+    rf"(?P<drop><!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|select|textarea|title)\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*+>?)"
     rf"|<(?P<end>/?)(?P<name>{_TAG})(?P<attributes>{_ATTRIBUTES})>|(?P<broken><[a-zA-Z/][^>]*+>?)|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
@@ -74,7 +76,9 @@ SURE = set(
     "ad ads advert adverts advertisement adsbox sponsored cookie cookies gdpr popup modal overlay newsletter paywall sidebar aside nav navbar menubar"
     " breadcrumb breadcrumbs footer masthead topbar toolbar pagination pager comment comments commentlist respond disqus".split()
 )
-WEAK = "?"
+# As a whole class these are sure as well; an id is a slug more often.
+SURE_CLASS = SURE | set("notice notices alert banner consent advertising promo promotion sponsor newsletter subscribe disclaimer".split())
+WEAK, OTHER = "?", "!"
 # Elements that marks never drop.
 KEPT = set("html body main article h1 h2 h3 h4 h5 h6".split())
 MAIN_MARKS = {"main"}
@@ -98,14 +102,17 @@ def _marks(attributes, name):
             continue
         if kind == "role":
             found |= set(_WORD.findall(value)) & MAIN_MARKS
-        if name in KEPT:
+        if name in KEPT and name != "article":
             continue
         for token in value.split():
             words = _WORD.findall(token)
             marks = MARKS.intersection(words)
             # A token of nothing but marks ("cookie-notice") is sure as well; roles are a fixed vocabulary.
-            sure = kind == "role" or len(marks) == len(set(words)) and (len(words) > 1 or marks <= SURE)
-            found |= marks if sure else {WEAK + m for m in marks}
+            sure = kind == "role" or len(marks) == len(set(words)) and (len(words) > 1 or marks <= (SURE_CLASS if kind == "class" else SURE))
+            if name == "article":
+                found |= {OTHER + m for m in marks if sure}
+            else:
+                found |= marks if sure else {WEAK + m for m in marks}
     return tuple(sorted(found))
 
 
@@ -163,6 +170,11 @@ def weak(marks):
     return any(m[0] == WEAK for m in marks) and "articlebody" not in marks
 
 
+def secondary(node):
+    """An article element that its marks call a comment or the like; it goes where another article is."""
+    return node.name == "article" and any(m[0] == OTHER for m in node.marks)
+
+
 def mostly_links(node):
     """More than half of the text stands in links."""
     links = others = 0
@@ -190,12 +202,12 @@ def digest(text):
 
 
 # An item is [name, least, most (1 or 2: repeated), characters outside of links, digest of the whole text or None if it varies, items].
-def expression(node):
-    """The items of an element's content."""
-    return _expression(node)[0]
+def expression(node, boxes=None):
+    """The items of an element's content; ``boxes`` gets the label and digest of each plain box in it that has a text."""
+    return _expression(node, set() if boxes is None else boxes)[0]
 
 
-def _expression(node):
+def _expression(node, boxes):
     items, whole = [], []
     for kid in node.kids:
         if isinstance(kid, str):
@@ -203,8 +215,10 @@ def _expression(node):
             if text:
                 items.append(["#", 1, 1, 0 if node.link else len(text), digest(text), []])
         else:
-            inner, text = _expression(kid)
+            inner, text = _expression(kid, boxes)
             items.append([label(kid), 1, 1, sum(i[3] for i in inner), digest(text), inner])
+            if text and (kid.name in BOXES or weak(kid.marks)):
+                boxes.add((items[-1][0], items[-1][4]))
         if text:
             whole.append(text)
     return _folded(items), " ".join(whole)
@@ -226,19 +240,32 @@ def merged(a, b):
     return [a[0], min(a[1], b[1]), max(a[2], b[2]), a[3] + b[3], a[4] if a[4] == b[4] else None, align(a[5], b[5])]
 
 
+def _places(items):
+    found = defaultdict(list)
+    for n, item in enumerate(items):
+        found[item[0]].append(n)
+    return found
+
+
+def _next(places, name, after):
+    """How far ahead of ``after`` the name comes next, if it does."""
+    listed = places.get(name, ())
+    at = bisect_right(listed, after)
+    return listed[at] - after if at < len(listed) else None
+
+
 def align(a, b):
     """One expression for both lists of items."""
     if not a and not b:
         return []
-    out, i, j = [], 0, 0
+    out, i, j, in_a_list, in_b_list = [], 0, 0, _places(a), _places(b)
     optional = lambda item: [item[0], 0, *item[2:]]
     while i < len(a) and j < len(b):
         if a[i][0] == b[j][0]:
             out.append(merged(a[i], b[j]))
             i, j = i + 1, j + 1
             continue
-        in_a = next((n for n in range(1, LOOK_AHEAD) if i + n < len(a) and a[i + n][0] == b[j][0]), None)
-        in_b = next((n for n in range(1, LOOK_AHEAD) if j + n < len(b) and b[j + n][0] == a[i][0]), None)
+        in_a, in_b = _next(in_a_list, b[j][0], i), _next(in_b_list, a[i][0], j)
         if in_a is not None and (in_b is None or in_a <= in_b):
             out += map(optional, a[i : i + in_a])
             i += in_a
@@ -253,14 +280,21 @@ def align(a, b):
 
 
 def wrapper_of(tree):
-    """[pages, least and greatest digest of the text of the region (to see if articles differ), items] of one page."""
-    items = expression(tree)
+    """[least and greatest digest of the text of the region (to see if articles differ), items, plain boxes that are on every page] of one page."""
+    boxes = set()
+    items = expression(tree, boxes)
     words = digest("\n".join(blocks(tree, region(items))))
-    return [1, words, words, items]
+    return [words, words, items, sorted(map(list, boxes))]
 
 
 def join_wrappers(a, b):
-    return [a[0] + b[0], min(a[1], b[1]), max(a[2], b[2]), align(a[3], b[3])]
+    both = {tuple(x) for x in a[3]} & {tuple(x) for x in b[3]}
+    return [min(a[0], b[0]), max(a[1], b[1]), align(a[2], b[2]), sorted(map(list, both))]
+
+
+def rules_of(wrapper):
+    """(region, plain boxes that are no part of it) as JSON: all that the pages of the host need of its wrapper."""
+    return json.dumps([region(wrapper[2], articles_differ(wrapper)), fixed_boxes(wrapper)])
 
 
 def _parts(name):
@@ -269,9 +303,9 @@ def _parts(name):
 
 
 def articles_differ(wrapper):
-    """Whether what is the same on all pages of the wrapper can be told from what its articles say."""
-    pages, least, greatest, _ = wrapper
-    return pages >= 3 and least != greatest
+    """Whether what is the same on all pages of the wrapper can be told from what its articles say: not if all say the same, as those of
+    a single page do."""
+    return wrapper[0] != wrapper[1]
 
 
 def region(items, known=False):
@@ -317,20 +351,8 @@ def _kept(item):
 
 
 def fixed_boxes(wrapper):
-    """(name, digest of the text) of plain boxes that say the same on all pages although the articles differ."""
-    items, found = wrapper[3], set()
-    if not articles_differ(wrapper):
-        return found
-
-    def walk(level):
-        for item in level:
-            name, marks = _parts(item[0])
-            if (name in BOXES or weak(marks)) and item[4] and item[1] == 1:
-                found.add((item[0], item[4]))
-            walk(item[5])
-
-    walk(items)
-    return found
+    """[label, digest of the text] of the plain boxes that say the same on all pages although the articles differ."""
+    return wrapper[3] if articles_differ(wrapper) else []
 
 
 def blocks(tree, where, fixed=frozenset(), by_marks=True):
@@ -343,8 +365,10 @@ def blocks(tree, where, fixed=frozenset(), by_marks=True):
             out.append(text)
         run.clear()
 
+    only = not by_marks or not _primary(tree)
+
     def dropped(node):
-        if skipped(node.name, node.marks, by_marks):
+        if skipped(node.name, node.marks, by_marks) or not only and secondary(node):
             return True
         if by_marks and weak(node.marks) and mostly_links(node):
             return True
@@ -374,6 +398,17 @@ def blocks(tree, where, fixed=frozenset(), by_marks=True):
     return out
 
 
+def _primary(tree):
+    """Whether the page has an article element that is not secondary."""
+    todo = [tree]
+    while todo:
+        here = todo.pop()
+        if here.name == "article" and not secondary(here):
+            return True
+        todo += [k for k in here.kids if isinstance(k, Node)]
+    return False
+
+
 def _whole(node):
     texts = []
     todo = [node]
@@ -457,17 +492,23 @@ def _join(table):
     return first.set_column(first.schema.get_field_index("wrapper"), "wrapper", pa.array([json.dumps(whole)], pa.string()))
 
 
+def _rules(table):
+    joined = _join(table)
+    rules = rules_of(json.loads(joined.column("wrapper")[0].as_py()))
+    return pa.Table.from_arrays([joined.column("host"), pa.array([rules])], names=["host", "rules"])
+
+
 def _extract(batches):
     known = {}
     for batch in batches:
         texts = []
-        for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            if wrapper not in known:
+        for page, rules in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if rules not in known:
                 if len(known) > 1000:
                     known.clear()
-                whole = json.loads(wrapper)
-                known[wrapper] = region(whole[3], articles_differ(whole)), fixed_boxes(whole)
-            where, fixed = known[wrapper]
+                where, fixed = json.loads(rules)
+                known[rules] = where, {tuple(x) for x in fixed}
+            where, fixed = known[rules]
             tree = parse(page)
             # A page whose whole text is in elements with marks keeps it.
             texts.append("\n".join(blocks(tree, where, fixed) or blocks(tree, where, by_marks=False)))
@@ -478,18 +519,23 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def wrappers_of(pages):
-    """(host, wrapper) with the wrapper as JSON, stored."""
+def merged_wrappers(pages):
+    """(host, part, wrapper as JSON): a few per host."""
     rows = pages.select(host_of(F.col("url")).alias("host"), "html")
     parts = rows.mapInArrow(_infer, "host string, part int, wrapper string")
-    parts = parts.groupBy("host", "part").applyInArrow(_join, "host string, part int, wrapper string")
-    return stored(parts.groupBy("host").applyInArrow(_join, "host string, part int, wrapper string").select("host", "wrapper"), "wrappers")
+    return parts.groupBy("host", "part").applyInArrow(_join, "host string, part int, wrapper string")
+
+
+def wrappers_of(pages):
+    """(host, wrapper) with the wrapper as JSON, stored."""
+    whole = merged_wrappers(pages).groupBy("host").applyInArrow(_join, "host string, part int, wrapper string")
+    return stored(whole.select("host", "wrapper"), "wrappers")
 
 
 def main_texts(pages):
     """page_id, url and main text of every page."""
     pages = pages.select("page_id", "url", "html")
-    wrappers = wrappers_of(pages)
-    placed = pages.withColumn("host", host_of(F.col("url"))).join(wrappers, "host").select("page_id", "url", "html", "wrapper")
+    rules = stored(merged_wrappers(pages).groupBy("host").applyInArrow(_rules, "host string, rules string"), "rules")
+    placed = pages.withColumn("host", host_of(F.col("url"))).join(rules, "host").select("page_id", "url", "html", "rules")
     schema = pages.select("page_id", "url", F.lit("").alias("text")).schema
     return placed.mapInArrow(_extract, schema)
