@@ -432,6 +432,35 @@ def test_what_varies_beside_the_main_box_stays(spark):
     assert main_texts(spark, [("one.example", shells[0].format(0, body))]) == [want[0].format(0, body)]
 
 
+def test_written_out_pages_of_hosts_of_several_layouts(spark):
+    """No article, main or telling name; comment articles; formulas; notices whose text varies; titles in headers; hosts of one and two pages."""
+    body = "word " * 40
+    layouts = [
+        ("<body><div class=a1><a href=x>Home</a> <a href=y>About</a></div><div class=b2><h1>Title {0}</h1><p>" + body + "{0}</p></div><div class=c3>(c) 2020 Firm</div></body>",
+         "Title {0}\n" + body + "{0}"),
+        ("<article><h1>T{0}</h1><p>Own {0} <math><mi>x</mi><mo>=</mo><mn>{0}</mn></math></p></article><article class='comment'><p>Nice {0}</p></article>", "T{0}\nOwn {0} x={0}"),
+        ("<article class=comment><p>only {0}</p></article>", "only {0}"),
+        ("<article><p>Text {0}</p><div class=notice>Sale ends {0}</div><p class=alert>Beware {0}</p><object data=z>Fallback {0}</object></article>", "Text {0}\nFallback {0}"),
+        ("<article><header><h1>Gone {0}</h1></header><p>Text {0}</p></article>", "Text {0}"),
+        ("<div><div>Call us</div><div><p>First {0}</p><p>Second {0}</p></div><div>Call us</div></div>", "First {0}\nSecond {0}"),
+    ]
+    pages = [(f"h{n}.example", page.format(i)) for n, (page, _) in enumerate(layouts) for i in range(2)]
+    assert main_texts(spark, pages) == [want.format(i) for _, want in layouts for i in range(2)]
+    # With one page, or pages that all say the same, nothing can be told to be fixed.
+    assert main_texts(spark, [("one.example", "<div class=a><a href=x>Home</a></div><div class=b>One page.</div>")]) == ["Home\nOne page."]
+    assert main_texts(spark, [("same.example", "<div>Menu</div><p>Same text.</p>")] * 3) == ["Menu\nSame text."] * 3
+
+
+def test_expressions_align_however_far_apart():
+    def items(names):
+        return [[n, 1, 1, 1, "d", []] for n in names]
+
+    first = items([f"a{i}" for i in range(300)] + ["end"])
+    second = items([f"b{i}" for i in range(200)] + ["end"])
+    joined = html.align(first, second)
+    assert [i[1] for i in joined if i[0] == "end"] == [1] and len(joined) == 501 and all(i[1] == 0 for i in joined if i[0] != "end")
+
+
 def test_long_boxes_are_compared_whole(spark):
     notice, intro = "This notice is the same on every page. " * 12, "All pages of this host begin with the same long words. " * 8
     pages = [("a.example", f"<article><p>{intro}</p><p>Own words {i}.</p><div><p>{notice}</p><p>Call us.</p></div></article>") for i in range(4)]
