@@ -9,6 +9,7 @@ buckets of its own keys: they alone are read, and the others keep their files (`
 never match anything. ``read_rows`` gives the rows without that column.
 """
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
@@ -63,19 +64,31 @@ def _bucketed(df, key, buckets):
     return df.withColumn(BUCKET, bucket_of_key(F.col(key), buckets)).hint("rebalance", BUCKET)
 
 
+@contextmanager
+def _new_folder(spark, name):
+    """A new folder for the table, deleted again if it cannot be filled."""
+    folder = table_path(spark, name)
+    try:
+        yield folder
+    except BaseException:
+        drop_scratch(spark, folder)
+        raise
+
+
 def create_keyed_table(df, name, key, buckets):
     """A new table divided by the hash of ``key`` into ``buckets`` parts."""
     spark = df.sparkSession
     rows = _bucketed(df, key, buckets)
-    rows.write.format("parquet").partitionBy(BUCKET).option("path", table_path(spark, name)).saveAsTable(name)
+    with _new_folder(spark, name) as folder:
+        rows.write.format("parquet").partitionBy(BUCKET).option("path", folder).saveAsTable(name)
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{KEY}' = '{key}', '{BUCKETS}' = '{buckets}')")
 
 
 def create_bucketed_table(df, name, key, buckets):
     """A new table whose rows of one key lie in one file, for operators that group by the key (and more): their plans then
     need no exchange. Every bucket is written, and later read, by one task, so this is for keys that few rows share."""
-    bucketed = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key)
-    bucketed.option("path", table_path(df.sparkSession, name)).saveAsTable(name)
+    with _new_folder(df.sparkSession, name) as folder:
+        df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).option("path", folder).saveAsTable(name)
 
 
 @contextmanager
@@ -107,7 +120,8 @@ def overwrite_table(df, name, new_columns=False):
     ``new_columns=True``, which adds them at the end."""
     spark = df.sparkSession
     if not table_exists(spark, name):
-        df.write.format("parquet").option("path", table_path(spark, name)).saveAsTable(name)
+        with _new_folder(spark, name) as folder:
+            df.write.format("parquet").option("path", folder).saveAsTable(name)
         return
     old, keyed = read_rows(spark, name), key_of(spark, name)
     added = [f for f in df.schema if f.name not in old.columns]
@@ -116,13 +130,13 @@ def overwrite_table(df, name, new_columns=False):
     rows, replaced = df.select(*_like_table(df, old), *[f.name for f in added]), _own_folder(spark, name)
     if keyed:
         # Partitions know their own folders, so a whole new table takes the name.
-        following = f"{name}_following"
+        following = f"{name}_{uuid.uuid4().hex}"
         create_keyed_table(rows, following, *keyed)
         spark.sql(f"DROP TABLE {name}")
         spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
     else:
-        folder = table_path(spark, name)
-        rows.write.parquet(folder)
+        with _new_folder(spark, name) as folder:
+            rows.write.parquet(folder)
         if added:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")

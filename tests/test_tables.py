@@ -73,6 +73,7 @@ def test_a_failed_overwrite_leaves_the_old_folder(spark, name, buckets):
     with pytest.raises(Exception, match="lost"):
         src.overwrite_table(spark.range(5).selectExpr("if(id < 4, id, raise_error('lost')) AS id"), name)
     assert folder(spark, name) == before and rows(src.read_rows(spark, name)) == [(0,), (1,), (2,)]
+    assert len(folders(spark, name)) == 1
 
 
 def test_dropping_an_adopted_table_leaves_the_files(spark, name, tmp_path):
