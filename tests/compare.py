@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from reviewmill.queries import ORACLES, QUERIES  # noqa: E402
 
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP"}
+TYPES = {"string": "VARCHAR", "boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP"}
 
 
 def duck(folder):
