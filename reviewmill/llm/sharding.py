@@ -30,7 +30,7 @@ SHARDS = 24
 ROUNDS = 12
 GATHERS = 4
 LEVELS, STEPS = 4, 16
-BUCKET_BITS, NODE_BITS = 10, 6
+BUCKET_BITS, NODE_BITS = 8, 6
 
 
 def number_rows(docs, *columns):
