@@ -7,6 +7,7 @@ from operator import or_
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+BINS = 1024
 QUARTILES = [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]
 
 
@@ -55,7 +56,7 @@ def _histogram(df, numbers, intervals, bins):
     return out
 
 
-def exact_quantiles(df, numbers, shares, bins=1024):
+def exact_quantiles(df, numbers, shares, bins=BINS):
     """{name: [value of each share]} of the double columns ``numbers`` (name -> column), without any error: the least value that at
     least the share of the values does not exceed. NULLs do not count, NaN is the greatest value; a column without values has NULLs.
 
@@ -63,12 +64,20 @@ def exact_quantiles(df, numbers, shares, bins=1024):
     interval, until both are the same. The driver sees at most ``bins`` rows per column and share, a task holds as many; each round
     divides an interval by about ``bins``.
     """
-    ends = df.agg(*[
-        F.struct(
-            F.count(x).alias("n"), F.count_if(x == float("-inf")).alias("below"), F.count_if(_finite(x)).alias("finite"), F.count_if(x == float("inf")).alias("above"),
-            F.min(F.when(_finite(x), x)).alias("low"), F.max(F.when(_finite(x), x)).alias("high"),
-        ).alias(name) for name, x in numbers.items()
-    ]).first() if numbers else {}
+    ends = df.agg(*[F.struct(*_ends(x)).alias(name) for name, x in numbers.items()]).first() if numbers else {}
+    return _selected(df, numbers, shares, bins, ends)
+
+
+def _ends(x):
+    """What a selection needs to know of a column of doubles first."""
+    finite = F.when(_finite(x), x)
+    return [
+        F.count(x).alias("n"), F.count_if(x == float("-inf")).alias("below"), F.count_if(_finite(x)).alias("finite"), F.count_if(x == float("inf")).alias("above"),
+        F.min(finite).alias("low"), F.max(finite).alias("high"),
+    ]
+
+
+def _selected(df, numbers, shares, bins, ends):
     found, searched = {}, {}
     for name in numbers:
         e = ends[name]
@@ -103,28 +112,20 @@ def profile(df, cols=None):
     """One row per column: count, mean, stddev, min, quartiles, max.
 
     Strings are profiled like numbers where they hold some (others are left out of mean and quartiles).
-    Minimum and maximum are given as text. Quartiles are exact (``exact_quantiles``).
+    Minimum and maximum are given as text. Quartiles are exact (``exact_quantiles``). Everything but the search for the quartiles is one pass, and that
+    reads the columns with numbers only.
     """
     types = {f.name: f.dataType for f in df.schema if isinstance(f.dataType, (NumericType, StringType))}
     cols = list(types) if cols is None else cols
     numbers = {c: F.col(c).try_cast("double") if isinstance(types[c], StringType) else F.col(c) for c in cols}
-    quartiles = exact_quantiles(df, {c: number.cast("double") for c, number in numbers.items()}, [share for _, share in QUARTILES])
-    measures = []
-    for c in cols:
-        measures += [
-            F.count(c).alias(f"count_{c}"), F.mean(numbers[c]).alias(f"mean_{c}"), F.stddev(numbers[c]).alias(f"stddev_{c}"),
-            F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
-        ]
-    lines = [
+    doubles = {c: number.cast("double") for c, number in numbers.items()}
+    lines = df.agg(*[
         F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"count_{c}").alias("count"),
-            F.col(f"mean_{c}").alias("mean"),
-            F.col(f"stddev_{c}").alias("stddev"),
-            F.col(f"min_{c}").cast("string").alias("min"),
-            *[F.lit(value).cast("double").alias(q) for (q, _), value in zip(QUARTILES, quartiles[c])],
-            F.col(f"max_{c}").cast("string").alias("max"),
-        )
-        for c in cols
-    ]
-    return df.agg(*measures).select(F.inline(F.array(*lines)))
+            F.struct(*_ends(doubles[c])).alias("ends"), F.count(c).alias("count"), F.mean(numbers[c]).cast("double").alias("mean"), F.stddev(numbers[c]).alias("stddev"),
+            F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"),
+        ).alias(f"column_{i}") for i, c in enumerate(cols)
+    ]).first()
+    quartiles = _selected(df, doubles, [share for _, share in QUARTILES], BINS, {c: line["ends"] for c, line in zip(cols, lines)})
+    rows = [(c, line["count"], line["mean"], line["stddev"], line["min"], *quartiles[c], line["max"]) for c, line in zip(cols, lines)]
+    names = ", ".join(f"{name} double" for name, _ in QUARTILES)
+    return df.sparkSession.createDataFrame(rows, f"column string, count long, mean double, stddev double, min string, {names}, max string")
