@@ -4,9 +4,10 @@ The model is a naive Bayes over the presence of words in a text, with Laplace sm
 word of the training texts; nothing of it passes through the driver but three sums. Weights are whole numbers, in parts of ``UNIT``,
 so that a score is the same in whatever order it is added up.
 
-Scoring explodes the words of a text, joins them with the weights and adds them up per text, in the task first. The join has no hint: Spark
-broadcasts the weights while it measures them small, and else sorts both sides and splits hot words. Texts are told apart
-by their digest, so equal ones are scored alike, whatever the key of the rows.
+Scoring explodes the words of a text, joins them with the weights and adds them up per text, in the task first. The words of the texts
+never move: the weights are broadcast, in as many parts by the hash of the word as it takes to keep each part under
+``WORDS_PER_BROADCAST`` words, and each part is joined in the tasks that read the texts. Only sums per text are shuffled, one row per text and
+part. Texts are told apart by their digest, so equal ones are scored alike, whatever the key of the rows.
 """
 
 from collections import namedtuple
@@ -23,6 +24,9 @@ from ..sources.tables import read_table, write_parquet
 
 UNIT = 10 ** 9
 
+# Most words of the model that one broadcast part of the weights holds.
+WORDS_PER_BROADCAST = 1 << 21
+
 # ``weights``: a stored table (word, weight); ``prior``: the weight of a text without words.
 SentimentModel = namedtuple("SentimentModel", "weights prior")
 
@@ -91,16 +95,21 @@ def train_sentiment(df, label_col="train_sentiment", text_col="text"):
     return SentimentModel(weights, prior)
 
 
-def score_sentiment(df, model, text_col="text"):
+def score_sentiment(df, model, text_col="text", words_per_part=WORDS_PER_BROADCAST):
     """Add ``final_sentiment``, an array with one label: positive, negative, or na without a known word."""
     coded = df.withColumn("_code", F.md5(F.col(text_col)))
-    # The empty word marks each row once, so that rows with the same text can be told from words of one row.
-    words = coded.where("_code IS NOT NULL").select(
-        "_code", F.explode(F.concat(F.array(F.lit("")), F.array_distinct(normal_words(F.col(text_col))))).alias("word")
-    )
+    texts = coded.where("_code IS NOT NULL")
     weights = model.weights.select(F.col("word").alias("_word"), "weight")
-    sums = words.join(weights, F.col("word") == F.col("_word"), "left").groupBy("_code").agg(
-        F.sum("weight").alias("_sum"), F.count("weight").alias("_known"), F.count_if(F.col("word") == "").alias("_rows")
+    parts = max(1, -(-weights.count() // words_per_part))
+    part = lambda word: F.pmod(F.xxhash64(word), F.lit(parts))
+    # Rows of one text: its words are added up once per row, so the sums are divided by them.
+    found = [texts.groupBy("_code").agg(F.lit(None).cast("long").alias("_sum"), F.lit(0).cast("long").alias("_known"), F.count("*").alias("_rows"))]
+    for i in range(parts):
+        words = texts.select("_code", F.explode(F.array_distinct(normal_words(F.col(text_col)))).alias("word")).where(part("word") == i)
+        known = words.join(F.broadcast(weights.where(part("_word") == i)), F.col("word") == F.col("_word"))
+        found.append(known.groupBy("_code").agg(F.sum("weight").alias("_sum"), F.count("weight").alias("_known"), F.lit(0).cast("long").alias("_rows")))
+    sums = reduce(lambda a, b: a.unionByName(b), found).groupBy("_code").agg(
+        F.sum("_sum").alias("_sum"), F.sum("_known").alias("_known"), F.sum("_rows").alias("_rows")
     )
     score = F.lit(model.prior) + F.col("_sum") / F.col("_rows")
     label = F.when(F.coalesce(F.col("_known"), F.lit(0)) == 0, UNKNOWN).when(score > 0, POSITIVE).otherwise(NEGATIVE)

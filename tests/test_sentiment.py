@@ -75,6 +75,21 @@ def test_equal_keys_and_equal_texts(spark, model):
     assert labels == ["na"] * 3 + ["negative"] * 3 + ["positive"] * 3
 
 
+def test_scoring_moves_no_word_of_the_texts(spark, model):
+    """However large the model, its words are broadcast in parts: no word of a text is shuffled, and the labels stay."""
+    expected = {r.review_id: r.final_sentiment for r in op.score_sentiment(reviews(spark), model).collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for words_per_part in (2, 1000):
+            scored = op.score_sentiment(reviews(spark), model, words_per_part=words_per_part)
+            plan = scored._jdf.queryExecution().executedPlan().toString()
+            assert all("word" not in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+            assert {r.review_id: r.final_sentiment for r in scored.collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_training_needs_both_labels(spark):
     with pytest.raises(ValueError, match="both"):
         op.train_sentiment(op.weak_labels(reviews(spark).where("stars = '5.0'")))
