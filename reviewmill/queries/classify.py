@@ -51,10 +51,21 @@ def ml_stop_words(spark, folder):
 def term_counts(spark, folder):
     """Kept in a table bucketed by document, so that counting moves no row."""
     name = new_name("documents")
-    src.create_bucketed_table(documents(spark, folder).select("doc_id", "text"), name, "doc_id", 16)
+    texts = documents(spark, folder).select("doc_id", "text")
+    src.create_bucketed_table(texts, name, "doc_id", text_buckets(texts))
     return op.term_counts(taken(spark, name), "doc_id")
 
 
+# A bucket is read and counted by one task: at most so many bytes of text go into one.
+BUCKET_TEXT_BYTES = 32 << 20
+
+
+def text_buckets(texts, least=16):
+    """Buckets for the texts, so many that each holds about ``BUCKET_TEXT_BYTES`` of text, ``least`` at least."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(least, -(-size // BUCKET_TEXT_BYTES))
+
+
 @query(f"SELECT doc_id, term, count(*) AS count FROM (SELECT doc_id, unnest({ML_WORDS_SQL}) AS term FROM documents) GROUP BY ALL")
 def term_counts_of_any_table(spark, folder):
     """The same on a table of any layout: counted in the task, then brought together."""

@@ -121,3 +121,11 @@ def test_no_full_outer_or_cross_join_anywhere(spark):
     for name in ("upsert_by_path", "upsert_all_columns", "class_ratios", "balanced_classes", "sample_by_key", "class_metrics"):
         text = plan(QUERIES[name](spark, FOLDER))
         assert "FullOuter" not in text and "Join Cross" not in text
+
+
+def test_text_buckets_grow_with_the_text(spark, monkeypatch):
+    from reviewmill.queries import classify
+    texts = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "doc_id long, text string")
+    assert classify.text_buckets(texts) == 16
+    monkeypatch.setattr(classify, "BUCKET_TEXT_BYTES", 100)
+    assert classify.text_buckets(texts) == 50
