@@ -113,7 +113,8 @@ def score_sentiment(df, model, text_col="text", words_per_part=WORDS_PER_BROADCA
     )
     score = F.lit(model.prior) + F.col("_sum") / F.col("_rows")
     label = F.when(F.coalesce(F.col("_known"), F.lit(0)) == 0, UNKNOWN).when(score > 0, POSITIVE).otherwise(NEGATIVE)
-    scored = coded.join(sums, "_code", "left").withColumn("final_sentiment", F.array(label))
+    # Merged at every size, so that the rows move the same way however many texts there are.
+    scored = coded.join(sums.hint("merge"), "_code", "left").withColumn("final_sentiment", F.array(label))
     return scored.select(*df.columns, "final_sentiment")
 
 

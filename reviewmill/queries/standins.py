@@ -43,7 +43,8 @@ def text_reviews(spark, folder):
     stars = (
         F.when(good & ~toxic, "5.0").when(good & toxic, "3.0").when(~good & ~toxic, "2.0").when(~good & toxic, "1.0")
     )
-    return docs.join(labels, "doc_id", "left").select(
+    # Merged at every size, not broadcast on small tables only: the texts then move in proportion to the input.
+    return docs.join(labels.hint("merge"), "doc_id", "left").select(
         F.col("doc_id").cast("string").alias("review_id"),
         F.col("lang").alias("user_id"),
         F.col("source").alias("business_id"),

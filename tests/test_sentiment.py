@@ -1,3 +1,4 @@
+import re
 import uuid
 
 import pytest
@@ -90,6 +91,18 @@ def test_scoring_moves_no_word_of_the_texts(spark, model):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_rows_move_alike_on_small_and_large_tables(spark, model):
+    """The texts meet their labels and their sums by a merge on small tables too, so what is shuffled grows with the input."""
+    from conftest import executed
+
+    from reviewmill.queries.standins import text_reviews
+
+    joined = executed(text_reviews(spark, "/root/testdata/sf0.001"))
+    assert re.search(r"SortMergeJoin \[doc_id#\d+L?\], \[doc_id#\d+L?\], LeftOuter", joined)
+    scored = executed(op.score_sentiment(reviews(spark), model))
+    assert re.search(r"SortMergeJoin \[_code#\d+\], \[_code#\d+\], LeftOuter", scored)
+
+
 def test_training_needs_both_labels(spark):
     with pytest.raises(ValueError, match="both"):
         op.train_sentiment(op.weak_labels(reviews(spark).where("stars = '5.0'")))
